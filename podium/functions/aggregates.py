@@ -8,19 +8,17 @@ from pyspark.sql import functions as F
 from podium.functions.scalars import _col
 
 
-def mean_rounded(value: str | Column, digits: int) -> Column:
+def mean_rounded(value: str, digits: int) -> Column:
     """Null-skipping mean, rounded to ``digits``, summed in whole units of 10^-(digits+2).
 
     Adding doubles gives a last bit that depends on the order in which tasks finish, and a mean
     that lies half-way between two roundings then flips between runs. Summing whole numbers is
     exact in any order, stays in generated code (a decimal sum does not) and still combines
     before the shuffle. Inputs are read to ``digits + 2`` decimals; a group may add up to
-    9.2e18 such units.
+    9.2e18 such units. ``value`` is SQL text.
     """
-    unit = float(10 ** (digits + 2))
-    value = _col(value).cast("double")
-    units = F.sum(F.floor(value * unit + 0.5))
-    return F.round(units / (F.count(value) * unit), digits)
+    unit = f"1e{digits + 2}D"
+    return F.expr(f"round(sum(floor(({value}) * {unit} + 0.5D)) / (count({value}) * {unit}), {digits})")
 
 
 def count_where(condition: Column) -> Column:
@@ -30,7 +28,7 @@ def count_where(condition: Column) -> Column:
 
 def ratio_of(num: Column, den: Column, digits: int = 4) -> Column:
     """Ratio of two aggregates, null when the second is 0."""
-    return F.round(num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0)), digits)
+    return F.round(F.try_divide(num.cast("double"), den.cast("double")), digits)
 
 
 def spread(value: str | Column, digits: int = 2) -> Column:

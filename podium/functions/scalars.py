@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 NULL_TOKEN = "_null_"
 
 
-def safe_ratio(num: str | Column, den: str | Column, digits: int = 4) -> Column:
-    """``num / den`` rounded, null unless the denominator is positive."""
-    num, den = _col(num), _col(den)
-    return F.when(den > 0, F.round(num.cast("double") / den.cast("double"), digits))
+def safe_ratio(num: str, den: str, digits: int = 4) -> Column:
+    """``num / den`` rounded, null unless the denominator is positive. Both are SQL text."""
+    return F.expr(
+        f"CASE WHEN ({den}) > 0 THEN round(CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE), {digits}) END")
 
 
 def win_value(won: str | Column, weight: Column | float = 1.0) -> Column:

@@ -12,22 +12,19 @@ from podium.functions.predicates import require
 from podium.functions.scalars import deterministic_id, typed_null
 
 
-def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = False) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """One projection onto ``schema``: safe casts, absent columns as typed nulls."""
     present = {f.name: f.dataType for f in df.schema}
-    cols = [_as_type(f, present.get(f.name)) for f in schema]
-    if keep_extra:
-        declared = set(schema.names)
-        cols += [F.col(name) for name in present if name not in declared]
-    return df.select(*cols)
+    return df.selectExpr(*[_as_type(f, present.get(f.name)) for f in schema])
 
 
-def _as_type(field: T.StructField, found: T.DataType | None) -> Column:
+def _as_type(field: T.StructField, found: T.DataType | None) -> str:
+    kind = field.dataType.simpleString()
     if found is None:
-        return typed_null(field.dataType.simpleString()).alias(field.name)
+        return f"CAST(NULL AS {kind}) AS `{field.name}`"
     if found == field.dataType:
-        return F.col(field.name)
-    return F.col(field.name).try_cast(field.dataType).alias(field.name)
+        return f"`{field.name}`"
+    return f"try_cast(`{field.name}` AS {kind}) AS `{field.name}`"
 
 
 def with_lineage(df: DataFrame, source: str | Column, version: str, hash_cols: list[str],

@@ -141,7 +141,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        self.__dict__[name] = df = self.spark.read.parquet(self.path(name))
+        return df
 
     @cached_property
     def numbered_events(self) -> DataFrame:
@@ -160,14 +161,14 @@ class Tables:
 
     def _shaped(self, kinds, formulas, schema) -> DataFrame:
         rows = self.numbered_events.filter(F.col("event_type").isin(*kinds))
-        return conform(rows.select(
-            F.date_format("ts", "HHmm").alias("session_time"),
-            *[F.expr(text).alias(name) for name, text in formulas.items()]), schema)
+        return conform(rows.selectExpr(
+            "date_format(ts, 'HHmm') AS session_time",
+            *[f"{text} AS {name}" for name, text in formulas.items()]), schema)
 
     @cached_property
     def raw_students(self) -> DataFrame:
-        return conform(self.customer.select(
-            *[F.expr(text).alias(name) for name, text in STUDENT_EXPR.items()]), RAW_STUDENTS)
+        return conform(self.customer.selectExpr(
+            *[f"{text} AS {name}" for name, text in STUDENT_EXPR.items()]), RAW_STUDENTS)
 
     @cached_property
     def alias_seed(self) -> DataFrame:
