@@ -63,5 +63,5 @@ def strip_fences(text: str | Column) -> Column:
 
 
 def encode_content(content: str | Column) -> Column:
-    """Binary page content as base64 text."""
-    return F.base64(_col(content))
+    """Binary page content as base64 text on one line."""
+    return F.translate(F.base64(_col(content)), "\r\n", "")

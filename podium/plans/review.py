@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from podium.functions.aggregates import count_where
+from podium.functions.aggregates import count_where, mean_rounded
 from podium.functions.predicates import below_confidence, maybe_eq
 from podium.functions.scalars import confidence_band, map_values, percent_label, rank_of, typed_null
 from podium.operators.joins import not_reviewed
@@ -124,15 +124,15 @@ def recommendation_context(matches: DataFrame, training: DataFrame) -> DataFrame
     match_text = recent.groupBy("player_id").agg(
         F.concat(
             F.lit("Last 3 matches: "), wins.cast("string"), F.lit(" wins, "), (3 - wins).cast("string"),
-            F.lit(" losses. Avg first serve: "), _whole(F.avg("first_serve_pct") * 100),
+            F.lit(" losses. Avg first serve: "), _whole(mean_rounded("first_serve_pct", 6) * 100),
             F.lit("%. Avg winners: "), _whole(F.avg("winners")),
             F.lit(". Avg unforced errors: "), _whole(F.avg("unforced_errors")), F.lit(".")).alias("match_summary"))
     sessions = latest(training, ["player_id"], [F.col("session_date").desc()], 2)
     training_text = sessions.groupBy("player_id").agg(
         F.concat(
-            F.lit("Last 2 sessions: avg shot accuracy "), _whole(F.avg("avg_shots_in") * 100),
-            F.lit("%. Forehand cross-court: "), _whole(F.avg("avg_forehand_cross_court_in") * 100),
-            F.lit("%. Backhand cross-court: "), _whole(F.avg("avg_backhand_cross_court_in") * 100),
+            F.lit("Last 2 sessions: avg shot accuracy "), _whole(mean_rounded("avg_shots_in", 6) * 100),
+            F.lit("%. Forehand cross-court: "), _whole(mean_rounded("avg_forehand_cross_court_in", 6) * 100),
+            F.lit("%. Backhand cross-court: "), _whole(mean_rounded("avg_backhand_cross_court_in", 6) * 100),
             F.lit("%.")).alias("training_summary"))
     notes = latest(matches.filter(F.col("raw_note_text").isNotNull()), ["player_id"], by_match, 2, "recency")
     note_text = notes.groupBy("player_id").agg(

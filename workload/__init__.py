@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("models", "expressions", "joins", "changes")
+_MODULES = ("models", "expressions", "joins", "changes", "summaries", "loads", "extraction",
+            "review", "quality")
 
 
 def load():

@@ -33,12 +33,14 @@ def with_ctes(sql: str, *names: str) -> str:
 
 def rnd(x: str, digits: int) -> str:
     """Half-up rounding of the decimal text of a double."""
-    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 15)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DOUBLE)"
 
 
 def mean(x: str, digits: int) -> str:
-    """Rounded mean over an exact decimal sum."""
-    return rnd(f"CAST(sum(CAST({x} AS DECIMAL(18, {digits + 2}))) AS DOUBLE) / count({x})", digits)
+    """Rounded mean over an exact decimal sum; the division is between whole numbers."""
+    unit = 10 ** (digits + 2)
+    total = f"CAST(sum(CAST({x} AS DECIMAL(18, {digits + 2}))) * {unit} AS BIGINT)"
+    return rnd(f"CAST({total} AS DOUBLE) / (count({x}) * {unit})", digits)
 
 
 def ratio(num: str, den: str, digits: int = 4) -> str:
