@@ -34,13 +34,20 @@ def mean_confidence(df: DataFrame, col: str = "extraction_confidence") -> DataFr
 
 def group_pages(pages: DataFrame, session: Sequence[str], page: str, path: str,
                 chunk: int = 50) -> DataFrame:
-    """Sorted page paths of each session, at most ``chunk`` page numbers per row.
+    """Sorted page paths of each session, in one row as long as the session has few pages.
 
-    A session of ordinary size is one row. A longer one becomes several numbered parts instead of
-    one list that a single task would have to hold.
+    A longer session becomes several rows instead of one list that a single task would have to
+    hold: ``part`` numbers its stretches of ``chunk`` page numbers, and a stretch that still has
+    more than ``chunk`` pages (many copies of one page) is shared out by path into ``share``.
     """
-    part = F.floor((F.col(page) - 1) / chunk).alias("part")
-    return (pages.groupBy(*session, part)
+    placed = pages.withColumn("part", F.floor((F.col(page) - 1) / chunk))
+    stretch = ["session_id", "part"]
+    crowded = (placed.groupBy(*stretch).agg(F.count(F.lit(1)).alias("_pages"))
+               .filter(F.col("_pages") > chunk)
+               .select(*stretch, F.ceil(F.col("_pages") / chunk).alias("_shares")))
+    shared = placed.join(crowded, stretch, "left").withColumn(
+        "share", F.coalesce(F.pmod(F.xxhash64(path), "_shares"), F.lit(0).cast("bigint")))
+    return (shared.groupBy(*session, "part", "share")
             .agg(F.sort_array(F.collect_list(path)).alias("file_paths"),
                  F.count(F.lit(1)).alias("page_count")))
 

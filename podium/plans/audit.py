@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from podium.functions.scalars import deterministic_id, rank_of, safe_ratio
 from podium.operators.conform import conform
-from podium.operators.changes import unseen
+from podium.operators.joins import new_only
+from podium.operators.windows import dedupe
 from podium.schemas import FINDINGS, declare
 
 # Takes the note and the statistics text, returns the verdict.
@@ -92,5 +93,7 @@ def run_audit(matches: DataFrame, training: DataFrame, judge: Judge,
     """New findings, at most one per session and none for a session already in ``existing``."""
     now = F.current_timestamp() if now is None else now
     cases = audit_context(matches, "match").unionByName(audit_context(training, "training"))
-    return unseen(findings_of(audit(cases, judge), now), existing, ["session_id"],
+    if existing is not None:  # before the calls: nothing is paid for a session already flagged
+        cases = new_only(cases, existing, ["session_id"])
+    return dedupe(findings_of(audit(cases, judge), now), ["session_id"],
                   [rank_of("severity", SEVERITIES), "finding_id"])

@@ -129,7 +129,7 @@ def merge_parts(parsed: DataFrame) -> DataFrame:
 
     def first_known(path: str, name: str) -> Column:
         value = F.col(path)
-        return F.min_by(value, F.when(value.isNotNull(), F.col("part"))).alias(name)
+        return F.min_by(value, F.when(value.isNotNull(), F.struct("part", "share"))).alias(name)
 
     return parsed.groupBy(*_SESSION).agg(
         *[first_known(f"payload.stats.{c}", c) for c in stats],

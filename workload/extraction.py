@@ -43,7 +43,7 @@ def _done(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 @query(f"""
     SELECT session_id, player_name, session_date, session_time, session_type,
-           CAST((page_number - 1) // 4 AS BIGINT) AS part,
+           CAST((page_number - 1) // 4 AS BIGINT) AS part, CAST(0 AS BIGINT) AS share,
            string_agg(_source_file, ' ' ORDER BY _source_file) AS pages, count(*) AS page_count
     FROM ({_PENDING}) GROUP BY ALL""")
 def pending_sessions(t: Tables) -> DataFrame:

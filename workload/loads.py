@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from podium.functions.scalars import with_calendar
 from podium.operators.conform import conform
-from podium.plans import marts
+from podium.plans import build
 from podium.schemas import BINARY_FILES, RAW_MATCHES, RAW_STUDENTS, RAW_TRAINING, declare
 from podium.session import scratch_dir
 from podium.sources import readers, sinks
@@ -55,23 +55,12 @@ def digest_in_increments(t: Tables) -> DataFrame:
     m, target = Models(t), scratch_dir(t.spark, "digest")
     scores = sinks.materialize(m.score, scratch_dir(t.spark, "score"))
     for until in ("2024-01-09", "2024-01-16", "2024-12-31"):
-        seen = scores.filter(F.col("score_week") < until)
-        known = readers.table(t.spark, target) if readers.table_exists(t.spark, target) else None
-        sinks.upsert_partitions(marts.weekly_digest(seen, known, look_back_weeks=1), target, ["digest_id"], "week_start")
-    return readers.table(t.spark, target).select(
+        digest = build.refresh_digest(scores.filter(F.col("score_week") < until), target)
+    return digest.select(
         "digest_id", "player_id", F.col("week_start").cast("date").alias("week_start"), "development_score",
         "score_change", "score_trend")
 
 
-@query(with_ctes("SELECT * FROM report", "report"))
-def report_in_increments(t: Tables) -> DataFrame:
-    """The report with an empty target, then again with a full one: nothing is added."""
-    m = Models(t)
-    first = marts.monthly_report(m.fct_match, m.fct_training, m.score, m.report.limit(0))
-    again = marts.monthly_report(m.fct_match, m.fct_training, m.score, m.report)
-    return first.unionByName(again)
-
-
 @query(f"""
     SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' AND {ym('o_orderdate')} >= '2000-01' THEN 'F'
                             ELSE o_orderstatus END AS o_orderstatus,
