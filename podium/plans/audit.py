@@ -5,9 +5,11 @@ The judge is supplied by the caller, as the page reader is in ``podium.plans.ext
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,9 @@ from podium.operators.joins import new_only
 from podium.operators.windows import dedupe
 from podium.schemas import FINDINGS, declare
 
+# The functions run on workers that may not have this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Takes the note and the statistics text, returns the verdict.
 Judge = Callable[[str, str], dict]
 

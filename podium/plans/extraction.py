@@ -7,10 +7,12 @@ typing, routing, dead letters) runs as Spark jobs.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,9 @@ from podium.operators.summaries import group_pages
 from podium.schemas import EXTRACTION_FAILURES, NOTE_EXTRACTIONS, PAYLOAD, RAW_MATCHES, RAW_TRAINING, declare
 from podium.sources.sinks import append, insert_new
 
+# The functions run on workers that may not have this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Takes a session (its columns and the sorted page paths), returns the JSON text.
 PageReader = Callable[[dict], str]
 

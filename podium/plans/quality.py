@@ -210,12 +210,16 @@ def daily_volume(df: DataFrame, name: str, loaded_at: str) -> DataFrame:
 
 
 def volume_monitor(daily: DataFrame, days: int = 7, tolerance: float = 3.0) -> DataFrame:
-    """Daily volume of each table against the mean and deviation of the ``days`` rows before it."""
+    """Daily volume of each table against the mean and deviation of the ``days`` loads before it.
+
+    A table with a shorter history is not judged.
+    """
     before = Window.partitionBy("table_name").orderBy("day").rowsBetween(-days, -1)
     usual = F.avg("rows").over(before)
     deviation = F.stddev_pop("rows").over(before)
     return daily.withColumns({
         "usual_rows": F.round(usual, 2),
         "deviation": F.round(deviation, 2),
-        "unusual": F.coalesce(F.abs(F.col("rows") - usual) > tolerance * deviation, F.lit(False)),
+        "unusual": (F.count("rows").over(before) == days)
+        & F.coalesce(F.abs(F.col("rows") - usual) > tolerance * deviation, F.lit(False)),
     })

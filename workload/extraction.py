@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,9 @@ from workload.registry import query
 from workload.sql import n, percent, ratio, rnd, with_ctes
 from workload.tables import Tables
 
+# The functions run on workers that may not have this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # A conversation is a session, its turns are the pages; one opened by the system is a match.
 _PAGES = """
     SELECT concat('c', c.conv_id) AS session_id, concat('p', c.conv_id) AS player_name,

@@ -185,7 +185,7 @@ def accuracy_by_version(t: Tables) -> DataFrame:
 @query(f"""
     SELECT table_name, day, rows, {rnd('avg(rows) OVER w', 2)} AS usual_rows,
            {rnd('stddev_pop(rows) OVER w', 2)} AS deviation,
-           coalesce(abs(rows - avg(rows) OVER w) > 1.5 * stddev_pop(rows) OVER w, false) AS unusual
+           count(*) OVER w = 7 AND coalesce(abs(rows - avg(rows) OVER w) > 1.5 * stddev_pop(rows) OVER w, false) AS unusual
     FROM (SELECT event_type AS table_name, CAST(ts AS DATE) AS day, count(*) AS rows FROM events GROUP BY ALL)
     WINDOW w AS (PARTITION BY table_name ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)""")
 def volume_monitor(t: Tables) -> DataFrame:
