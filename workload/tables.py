@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from podium.operators.conform import conform
 from podium.schemas import RAW_MATCHES, RAW_STUDENTS, RAW_TRAINING, TRAINING_ACCURACIES, TRAINING_SPEEDS
@@ -128,6 +129,10 @@ STUDENT_EXPR = {
 }
 
 
+# What the footers said: read once per table, as a catalog would keep it.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 class Tables:
     """Lazy access to the given tables and to the shapes derived from them."""
 
@@ -141,14 +146,17 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        self.__dict__[name] = df = self.spark.read.parquet(self.path(name))
+        path = self.path(name)
+        reader = self.spark.read.schema(_SCHEMAS[path]) if path in _SCHEMAS else self.spark.read
+        self.__dict__[name] = df = reader.parquet(path)
+        _SCHEMAS[path] = df.schema
         return df
 
     @cached_property
     def numbered_events(self) -> DataFrame:
         return self.events.select(
             "event_id", "ts", "user_id", "event_type", "value",
-            F.from_json("props", "k BIGINT")["k"].alias("k"),
+            F.get_json_object("props", "$.k").cast("bigint").alias("k"),
             F.floor("value").cast("bigint").alias("v"))
 
     @cached_property
