@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from podium.plans import intermediate, marts, staging
 from podium.sources.readers import table, table_exists
@@ -10,7 +11,7 @@ from podium.sources.sinks import materialize, upsert_partitions
 
 
 def build(raw_matches: DataFrame, raw_training: DataFrame, raw_students: DataFrame, alias_seed: DataFrame,
-          folder: str, look_back: int = 1) -> dict[str, DataFrame]:
+          folder: str, look_back: int = 1, now: Column | None = None) -> dict[str, DataFrame]:
     """Write the gold tables below ``folder`` and return every model.
 
     Silver models stay views. Facts and scores are stored before the marts read them, so each is
@@ -33,25 +34,31 @@ def build(raw_matches: DataFrame, raw_training: DataFrame, raw_students: DataFra
                           ["match_year_month"], ["player_id", "match_date"])
     training = materialize(marts.fct_training(views["daily_rollup"], dim), f"{folder}/fct_training",
                            ["session_year_month"], ["player_id", "session_date"])
-    score = materialize(marts.development_score(matches, training), f"{folder}/development_score")
-    digest = refresh_digest(score, f"{folder}/weekly_digest", look_back)
-    report = refresh_report(matches, training, score, f"{folder}/monthly_report", look_back)
+    score = materialize(calculated(marts.development_score(matches, training), now), f"{folder}/development_score")
+    digest = refresh_digest(score, f"{folder}/weekly_digest", look_back, now)
+    report = refresh_report(matches, training, score, f"{folder}/monthly_report", look_back, now)
     return {**views, "dim_player": dim, "fct_match": matches, "fct_training": training,
             "development_score": score, "weekly_digest": digest, "monthly_report": report}
 
 
-def refresh_digest(score: DataFrame, target: str, look_back_weeks: int = 1) -> DataFrame:
+def refresh_digest(score: DataFrame, target: str, look_back_weeks: int = 1,
+                   now: Column | None = None) -> DataFrame:
     changes = marts.weekly_digest(score, _stored(score, target), look_back_weeks)
-    upsert_partitions(changes, target, ["digest_id"], "week_start")
+    upsert_partitions(calculated(changes, now), target, ["digest_id"], "week_start")
     return table(score.sparkSession, target)
 
 
 def refresh_report(matches: DataFrame, training: DataFrame, score: DataFrame, target: str,
-                   look_back_months: int = 1) -> DataFrame:
+                   look_back_months: int = 1, now: Column | None = None) -> DataFrame:
     changes = marts.monthly_report(matches, training, score, _stored(score, target), look_back_months)
-    upsert_partitions(changes, target, ["report_id"], "report_month")
+    upsert_partitions(calculated(changes, now), target, ["report_id"], "report_month")
     return table(score.sparkSession, target)
 
 
+def calculated(df: DataFrame, now: Column | None = None) -> DataFrame:
+    """When the row was worked out; ``now`` makes a rebuild repeatable."""
+    return df.withColumn("calculated_at", F.current_timestamp() if now is None else now)
+
+
 def _stored(df: DataFrame, target: str) -> DataFrame | None:
     return table(df.sparkSession, target) if table_exists(df.sparkSession, target) else None

@@ -62,4 +62,5 @@ def link_to_match(rollup: DataFrame, matches: DataFrame, days: int = 7) -> DataF
         matches.select(*_LINK_MATCH, "session_time"),
         key="player_id", left_day="training_date", right_day="match_date", days=days,
         tie_break=["session_time", "match_id"], distance="days_to_match")
-    return linked.drop("session_time").withColumn("has_linked_match", F.col("days_to_match").isNotNull())
+    return linked.drop("session_time").withColumns({
+        "has_linked_match": F.col("days_to_match").isNotNull(), "match_rank": F.lit(1)})

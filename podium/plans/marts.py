@@ -16,12 +16,11 @@ from pyspark.sql import functions as F
 
 from podium.functions.aggregates import count_where, mean_rounded, ratio_of, spread
 from podium.functions.scalars import (
-    capped, classify_trend, fill_defaults, rescale, surrogate_key, week_start, weighted_score,
-    with_calendar, year_month,
+    capped, classify_trend, fill_defaults, rescale, surrogate_key, week_start, weighted_score, year_month,
 )
 from podium.operators.changes import newer_than
 from podium.operators.joins import lookup_sk
-from podium.operators.windows import latest, mode_per_group, rolling_days, with_change
+from podium.operators.windows import mode_per_group, rolling_days, with_change
 
 # Component weights of the development score.
 SCORE_WEIGHTS = {
@@ -194,8 +193,3 @@ def top_issue(notes: DataFrame, keys: Sequence[str] = ("player_id", "week_start"
     """Most common issue noted per player and week."""
     weekly = notes.withColumn("week_start", week_start("event_date"))
     return mode_per_group(weekly, list(keys), "issue", "top_issue")
-
-
-def latest_week(digest: DataFrame) -> DataFrame:
-    """Headline row of every player."""
-    return latest(digest, ["player_id"], [F.col("week_start").desc()], 1)

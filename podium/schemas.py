@@ -21,12 +21,6 @@ def declare(*groups: str) -> T.StructType:
     return schema
 
 
-LINEAGE = declare(
-    "STRING _source_file",
-    "TIMESTAMP _ingested_at",
-    "STRING _record_hash _pipeline_version",
-)
-
 RAW_STUDENTS = declare(
     "STRING student_id intake_id full_name chinese_name preferred_name date_of_birth",
     "DOUBLE utr_rating",

@@ -18,8 +18,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None,
                  merge_schema: bool = False) -> DataFrame:
-    reader = spark.read.option("mergeSchema", merge_schema)
-    return (reader.schema(schema) if schema else reader).parquet(path)
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", merge_schema)
+    return reader.parquet(path)
 
 
 def seed(spark: SparkSession, path: str, schema: T.StructType = ALIAS_SEED) -> DataFrame:
@@ -61,9 +61,9 @@ def decode_events(raw: DataFrame, schema: T.StructType) -> DataFrame:
             .select("_event.*", "kafka_offset", "kafka_partition"))
 
 
-def table(spark: SparkSession, target: str) -> DataFrame:
-    """A table by catalog name, or a Parquet folder by path."""
-    return spark.read.parquet(target) if is_path(target) else spark.table(target)
+def table(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
+    """A table by catalog name, or a Parquet folder by path, whose schema may be given."""
+    return read_parquet(spark, target, schema) if is_path(target) else spark.table(target)
 
 
 def table_exists(spark: SparkSession, target: str) -> bool:

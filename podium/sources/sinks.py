@@ -4,36 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from podium.operators.changes import unseen, upsert
 from podium.sources.readers import is_path, table, table_exists
 
 
-def overwrite(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> None:
+def overwrite(df: DataFrame, target: str, partition_by: Sequence[str] = (),
+              cluster_by: Sequence[str] = ()) -> None:
     """Create or replace the whole table. ``df`` must not read from ``target``."""
-    _save(df.write.mode("overwrite").option("partitionOverwriteMode", "static"), target, partition_by)
+    _save(df, target, "overwrite", "static", partition_by, cluster_by)
 
 
 def append(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> None:
-    _save(df.write.mode("append"), target, partition_by)
+    """Add rows; they may bring columns the table lacks, see ``read_parquet(merge_schema=True)``."""
+    _save(df, target, "append", "static", partition_by)
 
 
 def materialize(df: DataFrame, target: str, partition_by: Sequence[str] = (),
                 cluster_by: Sequence[str] = ()) -> DataFrame:
-    """Write a model and read it back.
-
-    Rows are brought together by partition value before the write, which avoids one small file per
-    task and partition; AQE splits a partition value that is too large for one file. ``cluster_by``
-    orders the rows inside each file, so that min/max statistics prune on those columns.
-    """
-    if partition_by:
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    if cluster_by:
-        df = df.sortWithinPartitions(*partition_by, *cluster_by)
-    overwrite(df, target, partition_by)
-    return table(df.sparkSession, target)
+    """Write a model and read it back under the schema it was written with."""
+    overwrite(df, target, partition_by, cluster_by)
+    return table(df.sparkSession, target, df.schema)
 
 
 def insert_new(df: DataFrame, target: str, keys: Sequence[str], order: Sequence,
@@ -45,10 +38,11 @@ def insert_new(df: DataFrame, target: str, keys: Sequence[str], order: Sequence,
 
 
 def upsert_partitions(changes: DataFrame, target: str, keys: Sequence[str], partition: str) -> None:
-    """Upsert that rewrites only the partitions the changes fall into.
+    """Upsert that reads and rewrites only the partitions the changes fall into.
 
     A key must keep its partition value, as the week and month tables do: their keys are made of
-    it. The list of touched partitions is at most one value per calendar period.
+    it. Dynamic mode stages the files and swaps partition folders on commit, so the folder being
+    read stays intact until then.
     """
     spark = changes.sparkSession
     if not table_exists(spark, target):
@@ -57,13 +51,20 @@ def upsert_partitions(changes: DataFrame, target: str, keys: Sequence[str], part
     touched = changes.select(partition).distinct()
     affected = table(spark, target).join(touched, partition, "left_semi")
     merged = upsert(affected.select(changes.columns), changes, keys)
-    # Dynamic mode stages the files and swaps partition folders on commit, so the folder being
-    # read stays intact until then.
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(partition).parquet(target)
+    _save(merged, target, "overwrite", "dynamic", [partition])
 
 
-def _save(writer: DataFrameWriter, target: str, partition_by: Sequence[str]) -> None:
+def _save(df: DataFrame, target: str, mode: str, partitions: str, partition_by: Sequence[str],
+          cluster_by: Sequence[str] = ()) -> None:
+    """Rows of a partition value are brought together first, which avoids one small file per task
+    and value; AQE splits a value that is too large for one file. ``cluster_by`` orders the rows
+    inside each file, so that min/max statistics prune on those columns.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if cluster_by:
+        df = df.sortWithinPartitions(*partition_by, *cluster_by)
+    writer = df.write.mode(mode).option("partitionOverwriteMode", partitions)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if is_path(target):

@@ -15,7 +15,7 @@ from podium.schemas import FINDINGS
 from podium.session import scratch_dir
 from podium.sources.readers import table
 from workload.registry import query
-from workload.sql import n, percent, ratio, rnd, with_ctes
+from workload.sql import n, ratio, rnd, with_ctes
 from workload.tables import Tables
 
 # The functions run on workers that may not have this package on their path.

@@ -11,7 +11,7 @@ from podium.plans import build, marts
 from podium.session import scratch_dir
 from podium.sources import sinks
 from workload.registry import query
-from workload.sql import CTE, cte, key, mean, n, ratio, rnd, week, with_ctes, ym
+from workload.sql import CTE, cte, mean, n, ratio, week, with_ctes
 from workload.tables import Tables
 
 _BREAK = "CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_totalprice END"
@@ -92,4 +92,4 @@ def report_in_increments(t: Tables) -> DataFrame:
         seen, trained = matches.filter(F.col("match_date") < until), training.filter(F.col("session_date") < until)
         report = build.refresh_report(
             seen, trained, marts.development_score(seen, trained), f"{folder}/report", look_back_months=2)
-    return report.withColumn("report_month", F.col("report_month").cast("string"))
+    return report.drop("calculated_at").withColumn("report_month", F.col("report_month").cast("string"))

@@ -76,7 +76,9 @@ def upsert_months(t: Tables) -> DataFrame:
     return readers.table(t.spark, target).select("o_orderkey", "o_orderstatus", F.col("month").cast("string").alias("month"))
 
 
-@query("SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, o_orderstatus, NULL FROM orders WHERE o_orderstatus <> 'F'")
+@query("""
+    SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS o_orderpriority
+    FROM orders""")
 def append_new_column(t: Tables) -> DataFrame:
     """Appended rows may bring a column the table did not have."""
     target = scratch_dir(t.spark, "orders")

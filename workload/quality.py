@@ -14,7 +14,7 @@ from podium.session import scratch_dir
 from podium.sources.readers import load_contract
 from workload.models import Models
 from workload.registry import query
-from workload.sql import mean, rnd, with_ctes, ym
+from workload.sql import rnd, with_ctes
 from workload.tables import Tables
 
 _AS_OF = "2024-01-20"
@@ -41,9 +41,11 @@ def _rule_sql(check: quality.Check) -> str:
 def _report_sql(name: str, table: str, checks) -> str:
     parts = []
     for check in checks:
-        rows = (f"(SELECT count(*) FROM (SELECT 1 FROM {table} WHERE {check.column} IS NOT NULL GROUP BY {check.column} HAVING count(*) > 1))"
-                if check.kind == "unique" else f"(SELECT count(*) FROM {table} WHERE {_rule_sql(check)})")
-        parts.append(f"SELECT '{check.kind}' AS \"check\", '{name}' AS table_name, '{check.column}' AS column_name, {rows} AS violations")
+        c = check.column
+        broken = (f"(SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
+                  if check.kind == "unique" else f"{table} WHERE {_rule_sql(check)}")
+        parts.append(f"""SELECT '{check.kind}' AS "check", '{name}' AS table_name, '{c}' AS column_name,
+                                (SELECT count(*) FROM {broken}) AS violations""")
     return "\nUNION ALL ".join(parts)
 
 
@@ -128,9 +130,12 @@ _CONTRACTS = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file
 
 
 def _contract_sql(name: str, table: str, required: tuple[str, ...], fresh: str) -> str:
-    parts = [f"SELECT 'min_rows' AS \"check\", '{name}' AS table_name, '' AS column_name, CAST((SELECT count(*) < 1 FROM {table}) AS BIGINT) AS violations"]
-    parts += [f"SELECT 'null_violation', '{name}', '{c}', (SELECT count(*) FROM {table} WHERE {c} IS NULL)" for c in required]
-    parts.append(f"SELECT 'freshness', '{name}', '_ingested_at', CAST((SELECT max(_ingested_at) < {fresh} FROM {table}) AS BIGINT)")
+    parts = [f"""SELECT 'min_rows' AS "check", '{name}' AS table_name, '' AS column_name,
+                        CAST((SELECT count(*) < 1 FROM {table}) AS BIGINT) AS violations"""]
+    parts += [f"SELECT 'null_violation', '{name}', '{c}', (SELECT count(*) FROM {table} WHERE {c} IS NULL)"
+              for c in required]
+    parts.append(f"""SELECT 'freshness', '{name}', '_ingested_at',
+                            CAST((SELECT max(_ingested_at) < {fresh} FROM {table}) AS BIGINT)""")
     return "\nUNION ALL ".join(parts)
 
 

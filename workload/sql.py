@@ -165,7 +165,7 @@ cte("linked", ("daily_rollup", "match_strength"), """
            m.weighted_win, m.opponent_strength_weight, m.total_points_won_pct, m.break_point_conversion,
            m.first_serve_pct, m.raw_note_text,
            CAST(m.match_date - t.session_date AS INTEGER) AS days_to_match,
-           m.match_id IS NOT NULL AS has_linked_match
+           m.match_id IS NOT NULL AS has_linked_match, 1 AS match_rank
     FROM daily_rollup t LEFT JOIN match_strength m
       ON t.player_id = m.player_id AND m.match_date BETWEEN t.session_date AND t.session_date + 7
     QUALIFY row_number() OVER (PARTITION BY t.player_id, t.session_date
