@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from podium.operators.changes import unseen, upsert
+from podium.session import scratch_dir
 from podium.sources.readers import is_path, table, table_exists
 
 
@@ -48,9 +49,11 @@ def upsert_partitions(changes: DataFrame, target: str, keys: Sequence[str], part
     if not table_exists(spark, target):
         append(changes, target, [partition])
         return
-    touched = changes.select(partition).distinct()
+    # The changes are used three times below; they are worked out once.
+    staged = materialize(changes, scratch_dir(spark, "changes"))
+    touched = staged.select(partition).distinct()
     affected = table(spark, target).join(touched, partition, "left_semi")
-    merged = upsert(affected.select(changes.columns), changes, keys)
+    merged = upsert(affected.select(staged.columns), staged, keys)
     _save(merged, target, "overwrite", "dynamic", [partition])
 
 
