@@ -10,6 +10,20 @@ from pyspark.sql import functions as F
 from podium.operators.windows import top1
 
 
+def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join to a ``table`` that holds one row per key, however unevenly ``rows`` use them.
+
+    The table was made unique by a grouping on the same keys, and Spark would join in that
+    partitioning. AQE only splits the partition a busy key has filled when both sides are shuffled
+    for the join, so a column derived from the keys is joined on as well: the grouping no longer
+    fits, and the (small) table is shuffled once more. A table under the broadcast limit is
+    broadcast all the same.
+    """
+    spread = F.xxhash64(*keys)
+    return (rows.withColumn("_spread", spread)
+            .join(table.withColumn("_spread", spread), [*keys, "_spread"], "left").drop("_spread"))
+
+
 def resolve_alias(df: DataFrame, col: str, aliases: DataFrame) -> DataFrame:
     """Replace ``col`` by its canonical id, or by its own lower-cased text when unmapped.
 
@@ -21,8 +35,7 @@ def resolve_alias(df: DataFrame, col: str, aliases: DataFrame) -> DataFrame:
              .filter(F.col("_alias").isNotNull())
              .groupBy("_alias").agg(F.min("_canonical").alias("_canonical")))
     plain = F.lower(F.trim(F.col(col)))
-    return (df.withColumn("_alias", plain)
-            .join(known, "_alias", "left")
+    return (lookup(df.withColumn("_alias", plain), known, ["_alias"])
             .withColumn(col, F.coalesce("_canonical", "_alias"))
             .drop("_alias", "_canonical"))
 
@@ -36,16 +49,25 @@ def lookup_sk(facts: DataFrame, dim: DataFrame, fact_key: str = "player_id",
     players = dim.filter(F.col("is_current")).filter(F.col(dim_key).isNotNull())
     players = top1(players, [dim_key], [F.col("valid_from").desc_nulls_last(), F.col(sk).asc()])
     players = players.select(F.col(dim_key).alias(fact_key), sk)
-    return facts.join(players, fact_key, "left")
+    return lookup(facts, players, [fact_key])
 
 
 def full_outer_coalesce(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return left.join(right, list(keys), "full")
 
 
-def new_only(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in ``existing`` yet. Reads nothing but the keys of ``existing``."""
-    return df.join(existing.select(*keys), list(keys), "left_anti")
+def new_only(df: DataFrame, existing: DataFrame, keys: Sequence[str], busy_keys: bool = False) -> DataFrame:
+    """Rows whose key is not in ``existing`` yet. Reads nothing but the keys of ``existing``.
+
+    ``busy_keys`` tells that one key may fill many rows of ``df``. The join then keeps to a
+    partitioning of its own, as in :func:`lookup`, so that AQE may split it whatever follows.
+    """
+    known = existing.select(*keys)
+    if not busy_keys:
+        return df.join(known, list(keys), "left_anti")
+    spread = F.xxhash64(*keys)
+    return (df.withColumn("_spread", spread)
+            .join(known.withColumn("_spread", spread), [*keys, "_spread"], "left_anti").drop("_spread"))
 
 
 def not_reviewed(df: DataFrame, reviewed: DataFrame, key: str = "session_id") -> DataFrame:

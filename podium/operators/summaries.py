@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from podium.functions.aggregates import count_where, mean_rounded, ratio_of
+from podium.operators.joins import lookup
 from podium.operators.windows import latest
 
 
@@ -45,7 +46,7 @@ def group_pages(pages: DataFrame, session: Sequence[str], page: str, path: str,
     crowded = (placed.groupBy(*stretch).agg(F.count(F.lit(1)).alias("_pages"))
                .filter(F.col("_pages") > chunk)
                .select(*stretch, F.ceil(F.col("_pages") / chunk).alias("_shares")))
-    shared = placed.join(crowded, stretch, "left").withColumn(
+    shared = lookup(placed, crowded, stretch).withColumn(
         "share", F.coalesce(F.pmod(F.xxhash64(path), "_shares"), F.lit(0).cast("bigint")))
     return (shared.groupBy(*session, "part", "share")
             .agg(F.sort_array(F.collect_list(path)).alias("file_paths"),

@@ -36,11 +36,10 @@ _ANSWER = declare("STRING raw_text error", "INT attempts")
 def pending_sessions(files: DataFrame, matches: DataFrame, training: DataFrame, chunk: int = 50) -> DataFrame:
     """Sessions not extracted yet, with their sorted page paths.
 
-    The two exclusion lists are applied one after the other: an anti join does not need their
-    distinct union, so neither list is shuffled for de-duplication.
+    The exclusion lists are stacked as they are: an anti join does not need them distinct.
     """
-    done_matches = matches.select(F.col("match_id").alias("session_id"))
-    todo = new_only(new_only(files, done_matches, ["session_id"]), training, ["session_id"])
+    done = matches.select(F.col("match_id").alias("session_id")).union(training.select("session_id"))
+    todo = new_only(files, done, ["session_id"], busy_keys=True)
     return group_pages(todo, _SESSION, "page_number", "_source_file", chunk)
 
 

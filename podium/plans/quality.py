@@ -139,7 +139,7 @@ def check_freshness(df: DataFrame, loaded_at: str, now: Column, warn_hours: floa
                     error_hours: float = 48) -> DataFrame:
     """Age of the newest row against the limits; an empty table is an error."""
     age = (F.unix_micros(now) - F.unix_micros(F.col("loaded_at"))) / 3_600_000_000
-    return (df.agg(F.max(loaded_at).alias("loaded_at"))
+    return (df.agg(F.max(F.col(loaded_at).try_cast("timestamp")).alias("loaded_at"))
             .withColumn("age_hours", F.round(age, 2))
             .withColumn("status", F.when(age.isNull() | (age > error_hours), "error")
                         .when(age > warn_hours, "warn").otherwise("pass")))

@@ -23,6 +23,8 @@ def build_session(app: str = "podium", master: str | None = None, **conf: str) -
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Split a skewed join even when the rows have to be shuffled again afterwards.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         # A generated method above 8000 bytes is never compiled by the JVM; the wide projections
         # here are several times faster in smaller, compiled pieces.

@@ -111,3 +111,44 @@ def test_upsert_reads_touched_partitions_only(spark, t):
     sinks.overwrite(orders, target, ["month"])
     touched = orders.filter("o_orderstatus = 'P' AND o_orderkey >= 0").select("month").distinct()
     assert "dynamicpruning" in plan(readers.table(spark, target).join(touched, "month", "left_semi"))
+
+
+@pytest.fixture
+def eager_skew_split(spark, no_broadcast):
+    """Limits at which AQE treats partitions of this size as skewed."""
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+                "spark.sql.adaptive.forceOptimizeSkewedJoin": "false"}  # the plans must do without it
+    before = {n: spark.conf.get(n, None) for n in settings}
+    for n, value in settings.items():
+        spark.conf.set(n, value)
+    yield
+    for n, value in before.items():
+        spark.conf.unset(n) if value is None else spark.conf.set(n, value)
+
+
+@pytest.mark.parametrize("lookup", ["alias", "dimension", "pages", "unseen"])
+def test_a_busy_key_is_split_in_lookups(spark, eager_skew_split, lookup):
+    """A third of the rows use one key; without broadcasts AQE still spreads them over tasks."""
+    rows = spark.range(0, 120_000, 1, 8).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'star' ELSE concat('p', id % 5000) END AS player_id", "1 AS page_number",
+        "CASE WHEN id % 3 = 0 THEN 'star' ELSE concat('p', id % 5000) END AS session_id", "uuid() AS path")
+    players = spark.range(5000).selectExpr(
+        "concat('p', id) AS player_id", "concat('sk', id) AS player_sk", "concat('p', id) AS alias",
+        "concat('x', id) AS canonical_player_id", "true AS is_current", "TIMESTAMP'2024-01-01' AS valid_from")
+    if lookup == "alias":
+        df = joins.resolve_alias(rows, "player_id", players)
+    elif lookup == "dimension":
+        df = joins.lookup_sk(rows, players)
+    elif lookup == "unseen":
+        known = players.select(F.concat("player_id", F.lit("-done")).alias("session_id"))
+        todo = joins.new_only(rows, known, ["session_id"], busy_keys=True)
+        df = todo.groupBy("session_id", "page_number").agg(F.max("path"))
+    else:
+        from podium.operators.summaries import group_pages
+
+        df = group_pages(rows, ["session_id"], "page_number", "path", chunk=20)
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert "SortMergeJoin(skew=true)" in final

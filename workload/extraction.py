@@ -27,17 +27,15 @@ _PAGES = """
            DATE '2024-03-01' AS session_date, '1400' AS session_time,
            CASE WHEN o.opener = 'system' THEN 'match' ELSE 'training' END AS session_type,
            CAST(c.turn + 1 AS INTEGER) AS page_number, concat('turn-', c.turn, '.png') AS _source_file, c.text
-    FROM conversations c
-    JOIN (SELECT conv_id, min_by(role, turn) AS opener FROM conversations GROUP BY conv_id) o ON o.conv_id = c.conv_id"""
+    FROM {turns} c
+    JOIN (SELECT conv_id, min_by(role, turn) AS opener FROM {turns} GROUP BY conv_id) o ON o.conv_id = c.conv_id"""
 # Sessions done so far: those whose number is a labelled document.
-_DONE = "SELECT {alias} FROM labels WHERE quality = {quality}"
 _PENDING = f"""
-    SELECT * FROM ({_PAGES}) WHERE session_id NOT IN (SELECT concat('c', doc_id) FROM labels)"""
+    SELECT * FROM ({_PAGES.format(turns='conversations')}) WHERE session_id NOT IN (SELECT concat('c', doc_id) FROM labels)"""
 
 
 def _pages(t: Tables) -> DataFrame:
-    t.conversations.createOrReplaceTempView("conversations")
-    return t.spark.sql(_PAGES)
+    return t.spark.sql(_PAGES, turns=t.conversations)
 
 
 def _done(t: Tables) -> tuple[DataFrame, DataFrame]:

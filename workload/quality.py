@@ -115,8 +115,7 @@ def failing_rows(t: Tables) -> DataFrame:
            'warn' AS status
     FROM (SELECT max(ts) AS loaded_at FROM events)""")
 def freshness(t: Tables) -> DataFrame:
-    return quality.check_freshness(
-        t.events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", F.lit("2024-02-01 12:00:00").cast("timestamp"))
+    return quality.check_freshness(t.events, "ts", F.lit("2024-02-01 12:00:00").cast("timestamp"))
 
 
 @query("""

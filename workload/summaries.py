@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from podium.functions.aggregates import count_where, mean_rounded, ratio_of, spread
 from podium.functions.scalars import month_start, year_month
 from podium.operators import summaries, windows
-from podium.plans import marts, review
+from podium.plans import bronze, marts, review
 from workload.models import Models
 from workload.registry import query
 from workload.sql import mean, month, n, rnd, week, with_ctes, ym
@@ -144,21 +144,18 @@ _OBSERVED = """
     SELECT concat('m', event_id) AS event_id, 'match' AS event_type,
            case when k < 30 then 'needs_work' when k < 70 then 'neutral' else 'improving' end AS sentiment,
            {confidence} AS extraction_confidence, concat('s', v) AS source_file
-    FROM {events} WHERE event_type IN ('purchase', 'signup') AND k >= 15"""
+    FROM {rows} WHERE event_type IN ('purchase', 'signup') AND k >= 15"""
 
 
 @query(with_ctes(f"""
     SELECT m.match_id, o.sentiment AS note_sentiment
-    FROM fct_match m LEFT JOIN ({_OBSERVED.format(confidence='k', events='ev')}) o ON o.event_id = m.match_id""",
+    FROM fct_match m LEFT JOIN ({_OBSERVED.format(confidence='k', rows='ev')}) o ON o.event_id = m.match_id""",
     "fct_match"))
 def note_sentiment(t: Tables) -> DataFrame:
     """Sentiment of the staged note observation on the match fact; observations arrive twice."""
-    from podium.plans.bronze import note_observations
-
-    t.numbered_events.createOrReplaceTempView("podium_numbered")
-    first = t.spark.sql(_OBSERVED.format(confidence="CAST(k AS DOUBLE)", events="podium_numbered"))
+    first = t.spark.sql(_OBSERVED.format(confidence="CAST(k AS DOUBLE)", rows="{rows}"), rows=t.numbered_events)
     again = first.withColumns({"extraction_confidence": F.col("extraction_confidence") - 1, "sentiment": F.lit("neutral")})
-    notes = note_observations(first.unionByName(again))
+    notes = bronze.note_observations(first.unionByName(again))
     return marts.with_note_sentiment(Models(t).fct_match, notes, "match", "match_id").select("match_id", "note_sentiment")
 
 
