@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from podium.functions.scalars import _col
 
 # The file name convention YYYYMMDDHHMM_name_(match|training)_page.png
-FILE_STEM = r"([^/]+)\.png$"
+FILE_SUFFIX = ".png"
 FILE_DATE = r"^(\d{8})"
 FILE_TIME = r"^\d{8}(\d{4})"
 FILE_STAMP = r"^(\d{12})"
@@ -24,7 +24,10 @@ def parse_session_files(df: DataFrame, path: str = "path") -> DataFrame:
 
     Parts that do not match become empty text, an impossible date or page becomes null.
     """
-    named = df.withColumn("filename", F.regexp_extract(_col(path), FILE_STEM, 1))
+    # The parts below are all cut from the stem, so it is found without a pattern of its own.
+    last = F.substring_index(_col(path), "/", -1)
+    stem = F.substr(last, F.lit(1), F.length(last) - len(FILE_SUFFIX))
+    named = df.withColumn("filename", F.when(F.endswith(last, F.lit(FILE_SUFFIX)), stem).otherwise(""))
     name = F.col("filename")
     return named.withColumns({
         "session_date": F.try_to_date(F.regexp_extract(name, FILE_DATE, 1), "yyyyMMdd"),

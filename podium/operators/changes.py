@@ -58,10 +58,13 @@ def set_status(findings: DataFrame, decisions: DataFrame, key: str = "finding_id
             .withColumn(status, F.coalesce("_decided", status)).drop("_decided"))
 
 
-def approve(eval_set: DataFrame, approvals: DataFrame) -> DataFrame:
+def approve(eval_set: DataFrame, approvals: DataFrame, now: Column | None = None) -> DataFrame:
     """Evaluation set with a batch of approvals added; blank optional answers become null."""
     typed = conform(approvals, EVAL_SET).withColumns({
-        c: F.nullif(F.col(c), F.lit("")) for c in ("issue", "recommendation")})
+        "issue": F.nullif("issue", F.lit("")),
+        "recommendation": F.nullif("recommendation", F.lit("")),
+        "approved_at": F.coalesce("approved_at", F.current_timestamp() if now is None else now),
+    })
     return eval_set.unionByName(typed)
 
 

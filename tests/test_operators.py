@@ -123,8 +123,8 @@ def test_status_and_approval(rows):
     assert as_set(changes.set_status(findings, decided)) == {("a", "dismissed"), ("b", "pending"), ("c", "confirmed")}
     empty = rows(EVAL_SET)
     batch = rows("session_id string, raw_note_text string, issue string", ("s1", "it's 'fine'", ""))
-    r = changes.approve(empty, batch).first()
-    assert (r["raw_note_text"], r["issue"], r["sentiment"]) == ("it's 'fine'", None, None)
+    r = changes.approve(empty, batch, F.lit(ts(3)).cast("timestamp")).first()
+    assert (r["raw_note_text"], r["issue"], r["sentiment"], r["approved_at"]) == ("it's 'fine'", None, None, ts(3))
 
 
 def history(rows):
