@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -57,7 +58,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         context = spark.sparkContext
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):  # local-cluster has nodes of its own
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by all nodes")
         root = _LOCAL_SCRATCH.get(context.applicationId)
         if root is None:

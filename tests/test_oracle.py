@@ -8,9 +8,10 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle import compare, connect
+from workload import load
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = load().QUERIES, load().ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +23,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
