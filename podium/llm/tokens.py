@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import os
+import string
 import struct
 import uuid
 import zlib
@@ -36,9 +37,10 @@ _FILE, _HEAD = b"HUFIDS1\n", struct.Struct("<4sIQII")
 def _coder(path: str) -> Callable[[str | None], bytes]:
     """Text to its ids as little-endian 32-bit integers.
 
-    The tokenizer's rules never look across white space, so the library encodes each distinct word
-    once per Python worker and texts are put together from remembered words. The memory is emptied
-    when full; that costs time, not correctness.
+    The tokenizer's rules never look across white space, nor across a letter and the signs that end its
+    word, and know no capitals. So the library encodes each distinct word, and each distinct run of
+    closing signs, once per Python worker, and texts are put together from what is remembered. The
+    memory is emptied when full; that costs time, not correctness.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -49,12 +51,18 @@ def _coder(path: str) -> Callable[[str | None], bytes]:
         def __missing__(self, word: bytes) -> bytes:
             if len(self) >= _REMEMBERED:
                 self.clear()
-            ids = tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            self[word] = found = np.asarray(ids, "<u4").tobytes()
+            plain = word.decode()
+            body = plain.rstrip(string.punctuation)
+            if body != plain and body and body[-1].isalpha():
+                tail = plain[len(body):]
+                found = self[body.encode()] + self[tail.encode()]
+            else:
+                found = np.asarray(tokenizer.encode(plain, add_special_tokens=False).ids, "<u4").tobytes()
+            self[word] = found
             return found
 
     words = Words()
-    return lambda text: b"".join(map(words.__getitem__, text.encode().split())) if text else b""
+    return lambda text: b"".join(map(words.__getitem__, text.encode().lower().split())) if text else b""
 
 
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
