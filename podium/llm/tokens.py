@@ -53,7 +53,7 @@ def _coder(path: str) -> Callable[[str | None], bytes]:
                 self.clear()
             plain = word.decode()
             body = plain.rstrip(string.punctuation)
-            if body != plain and body and body[-1].isalpha():
+            if body != plain and body and body[-1].lower()[-1].isalpha():  # some letters end in a mark once lower-cased
                 tail = plain[len(body):]
                 found = self[body.encode()] + self[tail.encode()]
             else:
