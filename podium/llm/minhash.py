@@ -5,10 +5,11 @@ the buckets of candidate generation; of each minimum only its two low bits are k
 planes, so the similarity of a pair is estimated from one popcount and corrected for chance collisions.
 Pairs that pass the estimate are confirmed on their full shingle sets.
 
-Groups are never paired off. Documents with equal sets fall into one class first. Within a bucket all
-classes are tied to the bucket's smallest one; only classes that a confirmed star left in different
-components are then compared with one another, and of those only pairs that pass the estimate leave the
-join. A band finds a pair of similarity 0.8 with probability 0.33, all 32 miss it with 3e-6; the
+Groups are never paired off. Documents with equal sets fall into one class first. In a bucket one class
+is the hub of a star, and all classes of other components are compared with it; a few rounds take
+another hub each. Classes that the stars left in different components are then compared with one
+another, but only links confirmed on the full sets leave that join, so its result is short however large
+a bucket is. A band finds a pair of similarity 0.8 with probability 0.33, all 32 miss it with 3e-6; the
 estimate's cut lies five standard deviations below the threshold.
 """
 
@@ -27,6 +28,7 @@ from podium.llm.common import mixed, slices, stored, words_of
 from podium.llm.components import components
 
 MINIMA, BANDS, BITS = 160, 32, 2
+STARS = 3
 PLANE = 3  # 64-bit words per bit plane: 160 bits and 32 that are always 0
 _REMEMBERED = 1 << 20
 
@@ -166,41 +168,69 @@ def _sets_for(keys: DataFrame, found: DataFrame, docs: DataFrame, shingle_words:
     return stored(sets.groupBy("set_key").agg(F.first("shingles").alias("shingles")), "sets")
 
 
-def links(docs: DataFrame, found: DataFrame, shingle_words: int, percent: int) -> DataFrame:
-    """Links ``a``, ``b`` that join the classes (``set_key``) of stored profiles into components."""
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct()
+
+
+def _apart(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Members of those buckets that hold several components, with their ``root``."""
+    if roots is None:
+        return buckets.withColumn("root", F.col("set_key"))
+    rooted = (buckets.join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
+              .withColumn("root", F.coalesce("root", "set_key")))
+    several = rooted.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select("band")
+    return rooted.join(several, "band", "left_semi")
+
+
+def _star(members: DataFrame, turn: int, cut: float) -> DataFrame:
+    """Pairs of each bucket's hub with the members of other components that the estimate lets pass."""
+    hub = members.groupBy("band").agg(F.min(F.struct(F.xxhash64("set_key", F.lit(turn)), "set_key", "root", "bits")).alias("hub"))
+    return (members.join(hub, "band")
+            .filter((F.col("root") != F.col("hub.root")) & (estimate(F.col("hub.bits"), F.col("bits")) >= cut))
+            .select(F.col("hub.set_key").alias("a"), F.col("set_key").alias("b")).distinct())
+
+
+def _across(members: DataFrame, found: DataFrame, docs: DataFrame, shingle_words: int, percent: int, cut: float) -> DataFrame:
+    """All links between members of one bucket and different components.
+
+    A pair that shares several bands is confirmed in the first of them only.
+    """
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select(*[F.col(c).alias(f"{c}_{name}") for c in rows.columns])
+
+    def near(a: DataFrame, b: DataFrame):
+        return ((a["band_a"] == b["band_b"]) & (F.col("root_a") != F.col("root_b"))
+                & (estimate(F.col("bits_a"), F.col("bits_b")) >= cut))
+
+    left, right = side(members, "a"), side(members.select("band", "bits", "root"), "b")
+    live = stored(left.join(right, near(left, right), "left_semi")
+                  .select(*[F.col(f"{c}_a").alias(c) for c in members.columns]), "live")
+    full = live.join(_sets_for(live.select("set_key").distinct(), found, docs, shingle_words), "set_key")
+    left, right = side(full, "a"), side(full, "b")
+    before = F.arrays_overlap(F.slice("bands_a", 1, F.col("place_a")), F.slice("bands_b", 1, F.col("place_b")))
+    shared = F.size(F.array_intersect("shingles_a", "shingles_b")).cast("long")
+    both = F.size("shingles_a").cast("long") + F.size("shingles_b")
+    linked = near(left, right) & (F.col("set_key_a") < F.col("set_key_b")) & ~before & (100 * shared >= percent * (both - shared))
+    return left.join(right, linked).select(F.col("set_key_a").alias("a"), F.col("set_key_b").alias("b"))
+
+
+def component_roots(docs: DataFrame, found: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """``node`` and ``root`` of the classes (``set_key``) of stored profiles that have a link."""
     cut = estimate_cut(percent / 100)
-    classes = stored(found.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-                     .groupBy("set_key").agg(F.first("bits").alias("bits"), F.first("bands").alias("bands")), "classes")
-    members = classes.select("set_key", "bits", F.explode("bands").alias("band"))
-    full = classes.select("set_key", F.explode("bands").alias("band")).groupBy("band").agg(
-        F.count("*").alias("n"), F.min("set_key").alias("hub")).filter("n > 1")
-    buckets = stored(members.join(full, "band").filter("set_key != hub"), "buckets")
-
-    def likely(pairs: DataFrame) -> DataFrame:
-        bits = classes.select(F.col("set_key").alias("a"), F.col("bits").alias("bits_a"))
-        return pairs.join(bits, "a").filter(estimate(F.col("bits_a"), F.col("bits_b")) >= cut).select("a", "b")
-
-    star = buckets.select(F.col("hub").alias("a"), F.col("set_key").alias("b"), F.col("bits").alias("bits_b"))
-    star = stored(likely(star.dropDuplicates(["a", "b"])), "star-pairs")
-    ends = star.select(F.col("a").alias("set_key")).union(star.select("b")).distinct()
-    sets = _sets_for(ends, found, docs, shingle_words)
-    tied = stored(_confirmed(star, sets, percent), "star-links")
-    roots = components(tied, "a", "b")
-
-    # Buckets of three classes or more that the stars left in several components.
-    rest = (buckets.filter("n > 2").join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
-            .withColumn("root", F.coalesce("root", "set_key")).select("band", "set_key", "bits", "root"))
-    rest = stored(rest, "rest")
-    apart = rest.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select("band")
-    rest = stored(rest.join(apart, "band", "left_semi"), "apart")
-    left = rest.select("band", F.col("set_key").alias("a"), F.col("bits").alias("bits_a"), F.col("root").alias("root_a"))
-    right = rest.select("band", F.col("set_key").alias("b"), F.col("bits").alias("bits_b"), F.col("root").alias("root_b"))
-    near = ((left["band"] == right["band"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
-            & (estimate(F.col("bits_a"), F.col("bits_b")) >= cut))
-    across = stored(left.join(right, near).select("a", "b").distinct(), "cross-pairs")
-    missing = across.select(F.col("a").alias("set_key")).union(across.select("b")).distinct()
-    more = _sets_for(missing, found, docs, shingle_words)
-    return tied.unionByName(_confirmed(across, more, percent))
+    classes = (found.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
+               .groupBy("set_key").agg(F.first("bits").alias("bits"), F.first("bands").alias("bands")))
+    members = stored(classes, "classes").select("set_key", "bits", "bands", F.posexplode("bands").alias("place", "band"))
+    full = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    buckets = stored(members.join(full, "band"), "buckets")
+    links, roots = None, None
+    for turn in range(STARS):
+        active = _apart(buckets if turn == 0 else buckets.filter("n > 2"), roots)  # a pair is done after one star
+        star = stored(_star(active, turn, cut), "star-pairs")
+        fresh = stored(_confirmed(star, _sets_for(_ends(star), found, docs, shingle_words), percent), "star-links")
+        links = fresh if links is None else links.unionByName(fresh)
+        roots = components(links, "a", "b")
+    rest = stored(_apart(buckets.filter("n > 2"), roots), "apart")
+    return components(links.unionByName(stored(_across(rest, found, docs, shingle_words, percent, cut), "cross-links")), "a", "b")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 4, percent: int = 80) -> DataFrame:
@@ -212,7 +242,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, percent: int = 80)
     text. An empty table gives no rows; extra columns are not read.
     """
     found = stored(profiles(docs, shingle_words), "profiles")
-    roots = components(links(docs, found, shingle_words, percent), "a", "b")
+    roots = component_roots(docs, found, shingle_words, percent)
     rooted = (found.select("doc_id", "n_shingles", "set_key")
               .join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
               .withColumn("root", F.coalesce("root", "set_key")))
