@@ -299,6 +299,6 @@ def uncontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHO
 def _clean(index, threshold: float, overlap: float):
     import pandas as pd
 
-    def clean(texts: pd.Series) -> pd.Series:
+    def clean(texts):
         return pd.Series([not index.value.leaks(text, threshold, overlap) for text in texts], dtype=bool)
     return clean
