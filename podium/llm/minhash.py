@@ -168,8 +168,25 @@ def _sets_for(keys: DataFrame, found: DataFrame, docs: DataFrame, shingle_words:
     return stored(sets.groupBy("set_key").agg(F.first("shingles").alias("shingles")), "sets")
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct()
+def _sides(rows: DataFrame, *of_right: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` twice, column names ending in _a and _b."""
+    return (rows.select(*[F.col(c).alias(f"{c}_a") for c in rows.columns]),
+            rows.select(*[F.col(c).alias(f"{c}_b") for c in of_right or rows.columns]))
+
+
+def _live(classes: DataFrame, cut: float) -> DataFrame:
+    """Classes in their buckets (``band``, its ``place``), as far as the estimate gives them a partner there.
+
+    Bands are paired with bits only after those with one class are gone.
+    """
+    members = classes.select("set_key", F.posexplode("bands").alias("place", "band"))
+    full = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    buckets = members.join(full, "band").join(classes.select("set_key", "bits"), "set_key")
+    left, right = _sides(stored(buckets, "buckets"), "band", "set_key", "bits")
+    likely = ((left["band_a"] == right["band_b"]) & (F.col("set_key_a") != F.col("set_key_b"))
+              & (estimate(F.col("bits_a"), F.col("bits_b")) >= cut))
+    return (left.join(right, likely, "left_semi")
+            .select(*[F.col(f"{c}_a").alias(c) for c in ("band", "place", "n", "set_key", "bits")]))
 
 
 def _apart(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -190,23 +207,18 @@ def _star(members: DataFrame, turn: int, cut: float) -> DataFrame:
             .select(F.col("hub.set_key").alias("a"), F.col("set_key").alias("b")).distinct())
 
 
-def _across(members: DataFrame, found: DataFrame, docs: DataFrame, shingle_words: int, percent: int, cut: float) -> DataFrame:
+def _across(members: DataFrame, sets: DataFrame, bands: DataFrame, percent: int, cut: float) -> DataFrame:
     """All links between members of one bucket and different components.
 
     A pair that shares several bands is confirmed in the first of them only.
     """
-    def side(rows: DataFrame, name: str) -> DataFrame:
-        return rows.select(*[F.col(c).alias(f"{c}_{name}") for c in rows.columns])
-
-    def near(a: DataFrame, b: DataFrame):
+    def near(a: DataFrame, b: DataFrame) -> Column:
         return ((a["band_a"] == b["band_b"]) & (F.col("root_a") != F.col("root_b"))
                 & (estimate(F.col("bits_a"), F.col("bits_b")) >= cut))
 
-    left, right = side(members, "a"), side(members.select("band", "bits", "root"), "b")
-    live = stored(left.join(right, near(left, right), "left_semi")
-                  .select(*[F.col(f"{c}_a").alias(c) for c in members.columns]), "live")
-    full = live.join(_sets_for(live.select("set_key").distinct(), found, docs, shingle_words), "set_key")
-    left, right = side(full, "a"), side(full, "b")
+    left, right = _sides(members, "band", "bits", "root")
+    open_ones = left.join(right, near(left, right), "left_semi").select(*[F.col(f"{c}_a").alias(c) for c in members.columns])
+    left, right = _sides(stored(open_ones, "open").join(sets, "set_key").join(bands, "set_key"))
     before = F.arrays_overlap(F.slice("bands_a", 1, F.col("place_a")), F.slice("bands_b", 1, F.col("place_b")))
     shared = F.size(F.array_intersect("shingles_a", "shingles_b")).cast("long")
     both = F.size("shingles_a").cast("long") + F.size("shingles_b")
@@ -217,20 +229,24 @@ def _across(members: DataFrame, found: DataFrame, docs: DataFrame, shingle_words
 def component_roots(docs: DataFrame, found: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     """``node`` and ``root`` of the classes (``set_key``) of stored profiles that have a link."""
     cut = estimate_cut(percent / 100)
-    classes = (found.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-               .groupBy("set_key").agg(F.first("bits").alias("bits"), F.first("bands").alias("bands")))
-    members = stored(classes, "classes").select("set_key", "bits", "bands", F.posexplode("bands").alias("place", "band"))
-    full = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
-    buckets = stored(members.join(full, "band"), "buckets")
+    classes = stored(found.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
+                     .groupBy("set_key").agg(F.first("bits").alias("bits"), F.first("bands").alias("bands")), "classes")
+    live = stored(_live(classes, cut), "live")
+    sets = _sets_for(live.select("set_key").distinct(), found, docs, shingle_words)
     links, roots = None, None
-    for turn in range(STARS):
-        active = _apart(buckets if turn == 0 else buckets.filter("n > 2"), roots)  # a pair is done after one star
-        star = stored(_star(active, turn, cut), "star-pairs")
-        fresh = stored(_confirmed(star, _sets_for(_ends(star), found, docs, shingle_words), percent), "star-links")
+    for turn in range(STARS + 1):
+        # One star settles a bucket of two; from then on only buckets left in several components count.
+        active = stored(_apart(live if turn == 0 else live.filter("n > 2"), roots), "active")
+        if turn and active.isEmpty():
+            break
+        if turn < STARS:
+            fresh = _confirmed(stored(_star(active, turn, cut), "star-pairs"), sets, percent)
+        else:
+            fresh = _across(active, sets, classes.select("set_key", "bands"), percent, cut)
+        fresh = stored(fresh, "fresh-links")
         links = fresh if links is None else links.unionByName(fresh)
         roots = components(links, "a", "b")
-    rest = stored(_apart(buckets.filter("n > 2"), roots), "apart")
-    return components(links.unionByName(stored(_across(rest, found, docs, shingle_words, percent, cut), "cross-links")), "a", "b")
+    return roots
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 4, percent: int = 80) -> DataFrame:
