@@ -291,14 +291,12 @@ def uncontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHO
     """
     for part in index_parts(items):
         index = docs.sparkSession.sparkContext.broadcast(part)
-        clean = F.pandas_udf(_clean(index, threshold, overlap), "boolean")
+        clean = F.arrow_udf(_clean(index, threshold, overlap), "boolean")
         docs = docs.filter(clean(F.col("text")))
     return docs
 
 
 def _clean(index, threshold: float, overlap: float):
-    import pandas as pd
-
     def clean(texts):
-        return pd.Series([not index.value.leaks(text, threshold, overlap) for text in texts], dtype=bool)
+        return pa.array([not index.value.leaks(text.as_py(), threshold, overlap) for text in texts], pa.bool_())
     return clean

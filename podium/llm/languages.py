@@ -78,19 +78,17 @@ def _text_scores(languages: list[str], table: np.ndarray):
     """A vectorised function from texts to log likelihoods, tempered; null without any trigram."""
     columns = np.ascontiguousarray(table.T)
 
-    @F.pandas_udf("array<double>")
     def scores(texts):
-        import pandas as pd
         out = []
-        for text in texts:
-            total, n = np.zeros(len(languages)), 0
+        for value in texts:
+            text, total, n = value.as_py(), np.zeros(len(languages)), 0
             for codes in trigrams(text) if text and text.strip() else ():
                 total += columns[codes].sum(axis=0, dtype=np.float64)
                 n += len(codes)
             out.append(total * TEMPER if n else None)
-        return pd.Series(out, dtype=object)
+        return pa.array(out, pa.list_(pa.float64()))
 
-    return scores
+    return F.arrow_udf(scores, "array<double>")
 
 
 def suffix_of(host: Column) -> Column:

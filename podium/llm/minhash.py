@@ -30,7 +30,7 @@ from podium.llm.components import components
 MINIMA, BANDS, BITS = 160, 32, 2
 STARS = 3
 PLANE = 3  # 64-bit words per bit plane: 160 bits and 32 that are always 0
-_REMEMBERED = 1 << 20
+_REMEMBERED = 1 << 16
 
 
 def _word_hashes() -> dict:

@@ -29,7 +29,7 @@ END_ID = 2
 LIMIT = 16
 BLOCK = 512
 SEGMENT = 1 << 20
-_REMEMBERED = 1 << 20
+_REMEMBERED = 1 << 19
 _FILE, _HEAD = b"HUFIDS1\n", struct.Struct("<4sIQII")
 
 
