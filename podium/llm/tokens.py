@@ -29,7 +29,7 @@ END_ID = 2
 LIMIT = 16
 BLOCK = 512
 SEGMENT = 1 << 20
-_REMEMBERED = 1 << 19
+_REMEMBERED = 1 << 17
 _FILE, _HEAD = b"HUFIDS1\n", struct.Struct("<4sIQII")
 
 
@@ -39,8 +39,8 @@ def _coder(path: str) -> Callable[[str | None], bytes]:
 
     The tokenizer's rules never look across white space, nor across a letter and the signs that end its
     word, and know no capitals. So the library encodes each distinct word, and each distinct run of
-    closing signs, once per Python worker, and texts are put together from what is remembered. The
-    memory is emptied when full; that costs time, not correctness.
+    closing signs, once per Python worker, and texts are put together from what is remembered. A full
+    memory becomes the older one, from which words still in use come back; that bounds it at little cost.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -48,9 +48,15 @@ def _coder(path: str) -> Callable[[str | None], bytes]:
     tokenizer.encode_special_tokens = True
 
     class Words(dict):
+        older: dict = {}
+
         def __missing__(self, word: bytes) -> bytes:
             if len(self) >= _REMEMBERED:
+                self.older = dict(self)
                 self.clear()
+            if (known := self.older.get(word)) is not None:
+                self[word] = known
+                return known
             plain = word.decode()
             body = plain.rstrip(string.punctuation)
             if body != plain and body and body[-1].lower()[-1].isalpha():  # some letters end in a mark once lower-cased
