@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from podium.session import scratch_dir
 
+BATCH_ROWS = 512
 _SHIPPED: set[str] = set()
 # White space of the contracts: 0x20 and 0x09-0x0D, which is also what bytes.split() splits at.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -66,8 +67,12 @@ def ship(spark: SparkSession) -> None:
     """Hand this package to the session's Python workers, once per application.
 
     Spark serves the archive from the driver, so workers need neither a shared source folder nor a
-    particular working directory.
+    particular working directory. Batches to them are limited to ``BATCH_ROWS`` rows: with the
+    default of 10,000, a run of very long texts would not fit a worker.
     """
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

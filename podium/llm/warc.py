@@ -164,7 +164,9 @@ class WarcReader(DataSourceReader):
         return [FilePartition(f.path, f.size) for f in sorted(files, key=lambda f: f.path)
                 if f.is_file and f.base_name.endswith(".warc.gz")]
 
-    def read(self, partition: FilePartition) -> Iterator[tuple]:
+    def read(self, partition: FilePartition | None) -> Iterator[tuple]:
+        if partition is None:  # a folder without archives
+            return
         system, _ = opened(self.path)
         with system.open_input_file(partition.path) as stream:
             at = 0
