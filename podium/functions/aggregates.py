@@ -9,16 +9,17 @@ from podium.functions.scalars import _col
 
 
 def mean_rounded(value: str, digits: int) -> Column:
-    """Null-skipping mean, rounded to ``digits``, summed in whole units of 10^-(digits+2).
+    """Null-skipping mean, rounded to ``digits``, from an exact sum of the whole values.
 
     Adding doubles gives a last bit that depends on the order in which tasks finish, and a mean
-    that lies half-way between two roundings then flips between runs. Summing whole numbers is
-    exact in any order, stays in generated code (a decimal sum does not) and still combines
-    before the shuffle. Inputs are read to ``digits + 2`` decimals; a group may add up to
-    9.2e18 such units. ``value`` is SQL text.
+    that lies half-way between two roundings then flips between runs. A decimal sum is exact in
+    any order and still combines before the shuffle. Groups that decimals of 20 whole digits
+    cannot hold (NaN, infinities, larger values) take the plain mean, under either ANSI setting.
+    ``value`` is SQL text.
     """
-    unit = f"1e{digits + 2}D"
-    return F.expr(f"round(sum(floor(({value}) * {unit} + 0.5D)) / (count({value}) * {unit}), {digits})")
+    exact = f"try_cast(({value}) as decimal(38, 18))"
+    total = f"if(count({exact}) = count({value}), cast(try_sum({exact}) as double), null)"
+    return F.expr(f"round(coalesce({total} / nullif(count({value}), 0), avg(cast(({value}) as double))), {digits})")
 
 
 def count_where(condition: Column) -> Column:

@@ -96,7 +96,8 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[
     """
     attributes = [c for c in dim.columns if c not in (key, "player_sk", "valid_from", "valid_to", "is_current")]
     fresh = dedupe(incoming, [key], order).select(key, F.struct(*attributes).alias("_new"))
-    current = dim.filter(F.col("is_current")).select(
+    is_current = F.coalesce(F.col("is_current"), F.lit(False))  # a version of unknown state stays as it is
+    current = dim.filter(is_current).select(
         key, F.struct(*attributes).alias("_old"), "player_sk", "valid_from")
     both = current.join(fresh, key, "full")
 
@@ -122,4 +123,4 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[
                 .when(F.col("_action") == "open", F.array(opened))
                 .otherwise(F.array(closed, opened))).alias("_row"))
             .select(key, "_row.attrs.*", "_row.player_sk", "_row.valid_from", "_row.valid_to", "_row.is_current"))
-    return rows.select(dim.columns).unionByName(dim.filter(~F.col("is_current")))
+    return rows.select(dim.columns).unionByName(dim.filter(~is_current))

@@ -108,7 +108,8 @@ def nearest_following(left: DataFrame, right: DataFrame, key: str, left_day: str
     day (``tie_break`` decides), so the single pass over a key is bounded by the calendar however
     many rows the key has, and no pair of rows is ever formed.
     """
-    first_of_day = top1(right.filter(F.col(right_day).isNotNull()), [key, right_day], tie_break)
+    usable = F.col(right_day).isNotNull() & F.col(key).isNotNull()  # a null key matches nothing
+    first_of_day = top1(right.filter(usable), [key, right_day], tie_break)
     payload = [c for c in right.columns if c != key]
     wanting = left.select(
         F.col(key).alias("_key"), F.col(left_day).alias("_day"), F.lit(1).alias("_side"),

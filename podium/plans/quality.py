@@ -204,9 +204,11 @@ def extraction_accuracy(approved: DataFrame, extracted: DataFrame, by: Sequence[
     return match_accuracy(joined, "approved_sentiment", "found_sentiment", by)
 
 
-def daily_volume(df: DataFrame, name: str, loaded_at: str) -> DataFrame:
-    return (df.groupBy(F.to_date(loaded_at).alias("day")).agg(F.count(F.lit(1)).alias("rows"))
-            .select(F.lit(name).alias("table_name"), "day", "rows"))
+def daily_volume(df: DataFrame, name: str | Column, loaded_at: str) -> DataFrame:
+    """Rows per day of one table, or, with a column for ``name``, of every table stacked in ``df``."""
+    table = F.lit(name) if isinstance(name, str) else name
+    return (df.groupBy(table.alias("table_name"), F.to_date(loaded_at).alias("day"))
+            .agg(F.count(F.lit(1)).alias("rows")))
 
 
 def volume_monitor(daily: DataFrame, days: int = 7, tolerance: float = 3.0) -> DataFrame:

@@ -147,3 +147,18 @@ def test_strip_fences_matches_its_row_level_twin(spark, text, answer):
 def test_content_and_scheme(spark):
     assert one(spark, encode_content(F.lit(bytearray(b"x" * 100)))).count("\n") == 0
     assert one(spark, strip_scheme(F.lit("dbfs:/a/b"))) == "/a/b"
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_mean_rounded_reads_whole_values(spark, rows, ansi):
+    cases = {"nan": ([float("nan"), 2.0], None), "inf": ([float("inf"), 1.0], float("inf")), "large": ([1e15, 1e15], 1e15),
+             "huge": ([1e30, 1e30], 1e30), "mixed": ([1e13, 1e12], 5.5e12), "half": ([-0.00005, -0.00005], -0.0001),
+             "digits": ([0.12344999, 0.12344999], 0.1234), "empty": ([None], None)}
+    df = rows("name string, x double", *[(n, x) for n, (values, _) in cases.items() for x in values])
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        got = {r["name"]: r["m"] for r in df.groupBy("name").agg(mean_rounded("x", 4).alias("m")).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert got.pop("nan") != cases.pop("nan")[1] and got == {n: m for n, (_, m) in cases.items()}

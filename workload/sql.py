@@ -37,10 +37,8 @@ def rnd(x: str, digits: int) -> str:
 
 
 def mean(x: str, digits: int) -> str:
-    """Rounded mean over an exact decimal sum; the division is between whole numbers."""
-    unit = 10 ** (digits + 2)
-    total = f"CAST(sum(CAST({x} AS DECIMAL(18, {digits + 2}))) * {unit} AS BIGINT)"
-    return rnd(f"CAST({total} AS DOUBLE) / (count({x}) * {unit})", digits)
+    """Rounded mean of the whole values, from the sum of their decimal texts."""
+    return rnd(f"CAST(sum(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18))) AS DOUBLE) / count({x})", digits)
 
 
 def ratio(num: str, den: str, digits: int = 4) -> str:
