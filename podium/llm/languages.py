@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from podium.llm.common import slices, stored
+from podium.llm.tokens import forget_words
 
 SAMPLE = 4000  # labelled rows that the trigram model is fitted on, at most
 BUCKETS = 1 << 15
@@ -79,6 +80,7 @@ def _text_scores(languages: list[str], table: np.ndarray):
     columns = np.ascontiguousarray(table.T)
 
     def scores(texts):
+        forget_words()
         out = []
         for value in texts:
             text, total, n = value.as_py(), np.zeros(len(languages)), 0

@@ -29,7 +29,7 @@ END_ID = 2
 LIMIT = 16
 BLOCK = 512
 SEGMENT = 1 << 20
-_REMEMBERED = 1 << 17
+_REMEMBERED = 1 << 19
 _FILE, _HEAD = b"HUFIDS1\n", struct.Struct("<4sIQII")
 
 
@@ -71,6 +71,11 @@ def _coder(path: str) -> Callable[[str | None], bytes]:
     return lambda text: b"".join(map(words.__getitem__, text.encode().lower().split())) if text else b""
 
 
+def forget_words() -> None:
+    """Free the words a reused Python worker keeps; other operators' tasks call it, to have the room."""
+    _coder.cache_clear()
+
+
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """``doc_id`` and ``ids`` (packed 16-bit, 32-bit if the vocabulary needs it) of every row, the end id last.
 
