@@ -7,50 +7,53 @@ from pyspark.sql import functions as F
 
 from podium.functions.scalars import _col
 
-# The file name convention YYYYMMDDHHMM_name_(match|training)_page.png
+# File names are stamp_player_type_page.png, the stamp being yyyyMMddHHmm.
 FILE_SUFFIX = ".png"
-FILE_DATE = r"^(\d{8})"
-FILE_TIME = r"^\d{8}(\d{4})"
-FILE_STAMP = r"^(\d{12})"
-FILE_PLAYER = r"^\d{12}_([^_]+)_"
-FILE_PLAYER_OPEN = r"^\d{12}_([^_]+)"
-FILE_TYPE = r"^\d{12}_[^_]+_(match|training)"
-FILE_PAGE = r"_(match|training)_(\d+)$"
+STAMP_DIGITS, DATE_DIGITS = 12, 8
 SESSION_TYPES = ("match", "training")
+_DIGITS = "0123456789"
 
 
 def parse_session_files(df: DataFrame, path: str = "path") -> DataFrame:
     """Session metadata read off the file name; works on a batch and on a stream.
 
-    Parts that do not match become empty text, an impossible date or page becomes null.
+    The name is split once. A part that is missing or of another form becomes empty text, an
+    impossible date or page becomes null. A type may go on (``match2``), but not before a page.
     """
-    # The parts below are all cut from the stem, so it is found without a pattern of its own.
     last = F.substring_index(_col(path), "/", -1)
     stem = F.substr(last, F.lit(1), F.length(last) - len(FILE_SUFFIX))
     named = df.withColumn("filename", F.when(F.endswith(last, F.lit(FILE_SUFFIX)), stem).otherwise(""))
-    name = F.col("filename")
-    return named.withColumns({
-        "session_date": F.try_to_date(F.regexp_extract(name, FILE_DATE, 1), "yyyyMMdd"),
-        "session_time": F.regexp_extract(name, FILE_TIME, 1),
-        "player_name": F.regexp_extract(name, FILE_PLAYER, 1),
-        "session_type": F.regexp_extract(name, FILE_TYPE, 1),
-        "page_number": F.regexp_extract(name, FILE_PAGE, 2).try_cast("int"),
-        "session_id": F.concat_ws(
-            "_",
-            F.regexp_extract(name, FILE_STAMP, 1),
-            F.regexp_extract(name, FILE_PLAYER_OPEN, 1),
-            F.regexp_extract(name, FILE_TYPE, 1),
-        ),
-    })
+    cut = named.withColumns({
+        "_parts": F.split("filename", "_"),
+        "_digits": F.length("filename") - F.length(F.ltrim("filename", F.lit(_DIGITS)))})
+
+    parts, digits = F.col("_parts"), F.col("_digits")
+
+    def or_empty(condition: Column, value: Column) -> Column:
+        return F.when(condition, value).otherwise("")
+
+    def slice_of(start: int, end: int) -> Column:
+        return or_empty(digits >= end, F.substring("filename", start + 1, end - start))
+
+    stamped = (digits == STAMP_DIGITS) & (F.length(parts[0]) == STAMP_DIGITS)
+    cut = cut.withColumn("_player", F.coalesce(or_empty(stamped, F.get(parts, F.lit(1))), F.lit("")))
+    player, said, page = F.col("_player"), F.get(parts, F.lit(2)), F.element_at(parts, -1)
+    kinds = [F.when((player != "") & F.startswith(said, F.lit(kind)), kind) for kind in SESSION_TYPES]
+    paged = ((F.size(parts) > 2) & F.get(parts, F.size(parts) - 2).isin(*SESSION_TYPES)
+             & (F.ltrim(page, F.lit(_DIGITS)) == ""))
+    cut = cut.withColumn("session_type", F.coalesce(*kinds, F.lit("")))
+    return cut.withColumns({
+        "session_date": F.try_to_date(slice_of(0, DATE_DIGITS), "yyyyMMdd"),
+        "session_time": slice_of(DATE_DIGITS, STAMP_DIGITS),
+        "player_name": or_empty(F.size(parts) > 2, player),
+        "page_number": F.when(paged, page).try_cast("int"),
+        "session_id": F.concat_ws("_", slice_of(0, STAMP_DIGITS), player, "session_type"),
+    }).drop("_parts", "_digits", "_player")
 
 
 def valid_session_file(df: DataFrame) -> DataFrame:
-    return df.filter(
-        F.col("session_date").isNotNull()
-        & (F.col("player_name") != "")
-        & F.col("session_type").isin(*SESSION_TYPES)
-        & F.col("page_number").isNotNull()
-    )
+    """Files whose name gave all four: a day, a player, a type and a page."""
+    return df.dropna(subset=["session_date", "page_number"]).filter(F.least(F.length("player_name"), F.length("session_type")) > 0)
 
 
 def strip_scheme(path: str | Column, scheme: str = "dbfs:") -> Column:

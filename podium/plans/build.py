@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,12 +13,12 @@ from podium.sources.sinks import materialize, upsert_partitions
 
 
 def build(raw_matches: DataFrame, raw_training: DataFrame, raw_students: DataFrame, alias_seed: DataFrame,
-          folder: str, look_back: int = 1, now: Column | None = None) -> dict[str, DataFrame]:
+          folder: str, now: Column | None = None) -> dict[str, DataFrame]:
     """Write the gold tables below ``folder`` and return every model.
 
     Silver models stay views. Facts and scores are stored before the marts read them, so each is
-    computed once per build however many marts use it. Digest and report take in the periods they do
-    not cover yet, plus ``look_back`` earlier ones, and rewrite those partitions only.
+    computed once per build however many marts use it. Digest and report are compared with what is
+    stored, and only the partitions with new or changed rows are rewritten.
     """
     alias = staging.stg_alias(alias_seed)
     views = {
@@ -35,22 +37,23 @@ def build(raw_matches: DataFrame, raw_training: DataFrame, raw_students: DataFra
     training = materialize(marts.fct_training(views["daily_rollup"], dim), f"{folder}/fct_training",
                            ["session_year_month"], ["player_id", "session_date"])
     score = materialize(calculated(marts.development_score(matches, training), now), f"{folder}/development_score")
-    digest = refresh_digest(score, f"{folder}/weekly_digest", look_back, now)
-    report = refresh_report(matches, training, score, f"{folder}/monthly_report", look_back, now)
+    digest = refresh_digest(score, f"{folder}/weekly_digest", now)
+    report = refresh_report(matches, training, score, f"{folder}/monthly_report", now)
     return {**views, "dim_player": dim, "fct_match": matches, "fct_training": training,
             "development_score": score, "weekly_digest": digest, "monthly_report": report}
 
 
-def refresh_digest(score: DataFrame, target: str, look_back_weeks: int = 1,
-                   now: Column | None = None) -> DataFrame:
-    changes = marts.weekly_digest(score, _stored(score, target), look_back_weeks)
+def refresh_digest(score: DataFrame, target: str, now: Column | None = None) -> DataFrame:
+    """Bring the stored digest up to ``score``: new weeks, late rows, corrections and the changes after them."""
+    changes = _changed(marts.weekly_digest(score), target, "week_start")
     upsert_partitions(calculated(changes, now), target, ["digest_id"], "week_start")
     return table(score.sparkSession, target)
 
 
 def refresh_report(matches: DataFrame, training: DataFrame, score: DataFrame, target: str,
-                   look_back_months: int = 1, now: Column | None = None) -> DataFrame:
-    changes = marts.monthly_report(matches, training, score, _stored(score, target), look_back_months)
+                   now: Column | None = None) -> DataFrame:
+    """Bring the stored report up to its inputs, whichever months new or corrected rows fall into."""
+    changes = _changed(marts.monthly_report(matches, training, score), target, "report_month")
     upsert_partitions(calculated(changes, now), target, ["report_id"], "report_month")
     return table(score.sparkSession, target)
 
@@ -60,5 +63,14 @@ def calculated(df: DataFrame, now: Column | None = None) -> DataFrame:
     return df.withColumn("calculated_at", F.current_timestamp() if now is None else now)
 
 
-def _stored(df: DataFrame, target: str) -> DataFrame | None:
-    return table(df.sparkSession, target) if table_exists(df.sparkSession, target) else None
+def _changed(fresh: DataFrame, target: str, partition: str) -> DataFrame:
+    """Rows of ``fresh`` that ``target`` does not hold as they are.
+
+    The ids are made of the partition's value, whose type a folder does not keep; it is not compared.
+    """
+    if not table_exists(fresh.sparkSession, target):
+        return fresh
+    compared = [c for c in fresh.columns if c != partition]
+    stored = table(fresh.sparkSession, target).select(*[F.col(c).alias(f"_{c}") for c in compared])
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in compared])
+    return fresh.join(stored, same, "left_anti")

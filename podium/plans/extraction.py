@@ -7,6 +7,7 @@ typing, routing, dead letters) runs as Spark jobs.
 from __future__ import annotations
 
 import json
+import re
 import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -21,7 +22,7 @@ from podium.operators.conform import conform
 from podium.operators.joins import new_only
 from podium.operators.summaries import group_pages
 from podium.schemas import EXTRACTION_FAILURES, NOTE_EXTRACTIONS, PAYLOAD, RAW_MATCHES, RAW_TRAINING, declare
-from podium.sources.sinks import append, insert_new
+from podium.sources.sinks import insert_new
 
 # The functions run on workers that may not have this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -31,6 +32,7 @@ PageReader = Callable[[dict], str]
 
 _SESSION = ("session_id", "player_name", "session_date", "session_time", "session_type")
 _ANSWER = declare("STRING raw_text error", "INT attempts")
+_FENCE_LINE = re.compile(r"^\s*```.*\n?", re.MULTILINE)
 
 
 def pending_sessions(files: DataFrame, matches: DataFrame, training: DataFrame, chunk: int = 50) -> DataFrame:
@@ -83,11 +85,9 @@ def _attempt(read_pages: PageReader, session: dict, retries: int) -> tuple[str |
 
 
 def unfenced(text: str) -> str:
-    """Answer without Markdown fence lines, the row-level twin of ``strip_fences``."""
-    text = text.strip()
-    if not text.startswith("```"):
-        return text
-    return "\n".join(line for line in text.split("\n") if not line.strip().startswith("```")).strip()
+    """What an answer holds inside its Markdown fence, if it begins with one."""
+    answer = text.strip()
+    return _FENCE_LINE.sub("", answer).strip() if _FENCE_LINE.match(answer) else answer
 
 
 def parse_payload(df: DataFrame, text: str = "raw_text") -> DataFrame:
@@ -104,8 +104,12 @@ class ExtractionResult:
 
 
 def split_results(extracted: DataFrame, version: str, now: Column) -> ExtractionResult:
-    """Route rows by outcome and session type, each to its declared schema."""
-    good = merge_parts(parse_payload(extracted.filter(F.col("error").isNull())))
+    """Route rows by outcome and session type, each to its declared schema.
+
+    A session is good when all its parts were read. Otherwise none of it enters a target, so that it
+    stays pending as a whole.
+    """
+    good = merge_parts(parse_payload(extracted))
     bad = extracted.filter(F.col("error").isNotNull())
     failures = conform(bad.select(
         F.concat(F.lit("fail_"), "session_id").alias("failure_id"),
@@ -123,7 +127,7 @@ def split_results(extracted: DataFrame, version: str, now: Column) -> Extraction
 
 
 def merge_parts(parsed: DataFrame) -> DataFrame:
-    """One row per session: each field from the first part that has it, pages added up.
+    """One row per session without failed parts: each field from the first part that has it, pages added up.
 
     The lowest confidence of the parts is kept. Built from ``min_by``, so parts combine before
     the shuffle.
@@ -136,10 +140,12 @@ def merge_parts(parsed: DataFrame) -> DataFrame:
         return F.min_by(value, F.when(value.isNotNull(), F.struct("part", "share"))).alias(name)
 
     return parsed.groupBy(*_SESSION).agg(
+        F.count("error").alias("_failed"),
         *[first_known(f"payload.stats.{c}", c) for c in stats],
         *[first_known(f"payload.coaching_notes.{c}", c) for c in notes],
         F.sum("payload.pages_processed").alias("pages_processed"),
-        F.min(F.coalesce("payload.confidence", F.lit(0.0))).alias("extraction_confidence"))
+        F.min(F.coalesce("payload.confidence", F.lit(0.0))).alias("extraction_confidence")
+    ).filter("_failed = 0").drop("_failed")
 
 
 def normalize_extraction(sessions: DataFrame, kind: str, version: str, now: Column) -> DataFrame:
@@ -181,13 +187,16 @@ def run_extraction(sessions: DataFrame, read_pages: PageReader, staging: str, ma
 
     The answers are written once before they are routed: the calls are slow and paid for, and must
     not be repeated for each of the four outputs or for a lost executor. Rows already in a target
-    stay there.
+    stay there, and a failure is kept once per session and time. The calls are dealt to as many
+    tasks as a shuffle has, unless ``calls_in_parallel`` says otherwise; AQE merges neither, however
+    few bytes a call takes in.
     """
     now = F.current_timestamp() if now is None else now
-    work = sessions.repartition(calls_in_parallel, "session_id") if calls_in_parallel else sessions
+    tasks = calls_in_parallel or int(sessions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    work = sessions.repartition(tasks, "session_id", "part", "share")
     extract(work, read_pages, retries).write.mode("overwrite").parquet(staging)
     routed = split_results(sessions.sparkSession.read.parquet(staging), version, now)
     insert_new(routed.matches, match_table, ["match_id"], ["match_date"])
     insert_new(routed.training, training_table, ["session_id"], ["session_date"])
     insert_new(routed.notes, note_table, ["event_id", "event_type"], ["event_date"])
-    append(routed.failures, failure_table)
+    insert_new(routed.failures, failure_table, ["failure_id", "failed_at"], ["error_message"])

@@ -51,8 +51,9 @@ def upsert_partitions(changes: DataFrame, target: str, keys: Sequence[str], part
         return
     # The changes are used three times below; they are worked out once.
     staged = materialize(changes, scratch_dir(spark, "changes"))
-    touched = staged.select(partition).distinct()
-    affected = table(spark, target).join(touched, partition, "left_semi")
+    touched = staged.select(F.col(partition).alias("_touched")).distinct()
+    # Null is a partition too: its stored rows must be read, or the swap of its folder loses them.
+    affected = table(spark, target).join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
     merged = upsert(affected.select(staged.columns), staged, keys)
     _save(merged, target, "overwrite", "dynamic", [partition])
 
@@ -67,10 +68,27 @@ def _save(df: DataFrame, target: str, mode: str, partitions: str, partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     if cluster_by:
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
-    writer = df.write.mode(mode).option("partitionOverwriteMode", partitions)
+    writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if is_path(target):
-        writer.parquet(target)
-    else:
+        writer.option("partitionOverwriteMode", partitions).parquet(target)
+    elif partitions == "dynamic":
+        _insert_partitions(df, target)
+    else:  # an option here would become one of the table's own
         writer.format("parquet").saveAsTable(target)
+
+
+def _insert_partitions(df: DataFrame, target: str) -> None:
+    """Replace the partitions of a catalog table that ``df`` has rows for.
+
+    A table may not be read by its own overwrite, so the rows are staged; inserts heed the session's mode alone.
+    """
+    staged = materialize(df, scratch_dir(df.sparkSession, "partitions"))
+    conf, mode = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(mode)
+    conf.set(mode, "dynamic")
+    try:
+        staged.select(df.sparkSession.table(target).columns).write.insertInto(target, overwrite=True)
+    finally:
+        conf.set(mode, before)

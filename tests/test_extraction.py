@@ -125,6 +125,35 @@ def test_parts_of_a_long_session_are_merged(spark):
     assert (m["winners"], m["aces"], m["pages_processed"], m["extraction_confidence"]) == (5, 2, 7, 0.6)
 
 
+def test_session_with_a_failed_part_stays_pending(spark, tmp_path):
+    def read(session, broken):
+        if broken and session["part"] == 1:
+            raise ValueError("unreadable")
+        return json.dumps(payload(pages_processed=len(session["file_paths"])))
+
+    files = spark.createDataFrame(
+        [(s, "yi", dt.date(2024, 3, 1), "1400", "match", n, f"{s}{n:02d}") for s, pages in (("long", 7), ("short", 2))
+         for n in range(1, pages + 1)],
+        "session_id string, player_name string, session_date date, session_time string, session_type string, "
+        "page_number int, _source_file string")
+    targets = [str(tmp_path / n) for n in ("matches", "training", "failures", "notes")]
+    trained = spark.createDataFrame([], "session_id string")
+
+    def go(name, done, broken):
+        sessions = extraction.pending_sessions(files, done, trained, chunk=5)
+        extraction.run_extraction(sessions, lambda s: read(s, broken), str(tmp_path / name), *targets, now=now())
+        return table(spark, targets[0]), table(spark, targets[2])
+
+    nothing = spark.createDataFrame([], "match_id string")
+    for attempt in ("first", "replay"):
+        matches, failures = go(attempt, nothing, True)
+        assert as_set(matches, "match_id", "pages_processed") == {("short", 2)}
+        assert [r["failure_id"] for r in failures.collect()] == ["fail_long"]
+    matches, failures = go("later", matches, False)
+    assert as_set(matches, "match_id", "pages_processed") == {("short", 2), ("long", 7)}
+    assert failures.count() == 1
+
+
 def noted(spark):
     matches = rows_to_df(spark, [
         {"match_id": "m1", "player_id": "a", "match_date": dt.date(2024, 1, 1), "raw_note_text": "perfect", "winners": 1,

@@ -141,6 +141,24 @@ def test_sinks(spark, tmp_path):
     assert as_set(readers.table(spark, target), "id", "part") == {(1, "x"), (3, "z"), (4, "z")}
 
 
+def test_upsert_into_the_null_partition(spark, tmp_path):
+    target = str(tmp_path / "t")
+    sinks.overwrite(spark.createDataFrame([(1, "a", "x"), (2, "b", None), (3, "c", None)], "id int, v string, part string"),
+                    target, ["part"])
+    sinks.upsert_partitions(spark.createDataFrame([(2, "new", None)], "id int, v string, part string"), target, ["id"], "part")
+    assert as_set(readers.table(spark, target), "id", "v", "part") == {(1, "a", "x"), (2, "new", None), (3, "c", None)}
+
+
+def test_upsert_into_a_catalog_table(spark):
+    spark.sql("DROP TABLE IF EXISTS podium_upsert")
+    try:
+        for rows in ([(1, "x", "a"), (2, "y", "b")], [(2, "y", "new"), (3, "y", "c")]):
+            sinks.upsert_partitions(spark.createDataFrame(rows, "id int, part string, v string"), "podium_upsert", ["id"], "part")
+        assert as_set(readers.table(spark, "podium_upsert"), "id", "v", "part") == {(1, "a", "x"), (2, "new", "y"), (3, "c", "y")}
+    finally:
+        spark.sql("DROP TABLE IF EXISTS podium_upsert")
+
+
 def test_catalog_tables(spark):
     spark.sql("DROP TABLE IF EXISTS podium_t")
     try:

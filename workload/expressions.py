@@ -110,17 +110,15 @@ def session_files_of(t: Tables) -> DataFrame:
 _FILES = f"""
     SELECT *, regexp_extract(path, '([^/]+)\\.png$', 1) AS filename
     FROM (SELECT event_id, v AS length, {_PATH.format(stamp=_STAMP['duckdb'])} AS path FROM ev)"""
+# All stamps here have twelve digits, all players a name, and no type goes on.
 _PARSED = f"""
     SELECT event_id, path, length, filename,
-           CAST(try_strptime(regexp_extract(filename, '^(\\d{{8}})', 1), '%Y%m%d') AS DATE) AS session_date,
-           regexp_extract(filename, '^\\d{{8}}(\\d{{4}})', 1) AS session_time,
-           regexp_extract(filename, '^\\d{{12}}_([^_]+)_', 1) AS player_name,
-           regexp_extract(filename, '^\\d{{12}}_[^_]+_(match|training)', 1) AS session_type,
-           TRY_CAST(regexp_extract(filename, '_(match|training)_(\\d+)$', 2) AS INTEGER) AS page_number,
-           concat_ws('_', regexp_extract(filename, '^(\\d{{12}})', 1),
-                     regexp_extract(filename, '^\\d{{12}}_([^_]+)', 1),
-                     regexp_extract(filename, '^\\d{{12}}_[^_]+_(match|training)', 1)) AS session_id
-    FROM ({_FILES})"""
+           CAST(try_strptime(left(filename, 8), '%Y%m%d') AS DATE) AS session_date, substr(filename, 9, 4) AS session_time,
+           coalesce(p[2], '') AS player_name, kind AS session_type,
+           CASE WHEN p[-2] IN ('match', 'training') THEN TRY_CAST(p[-1] AS INTEGER) END AS page_number,
+           concat_ws('_', left(filename, 12), coalesce(p[2], ''), kind) AS session_id
+    FROM (SELECT *, CASE WHEN p[3] IN ('match', 'training') THEN p[3] ELSE '' END AS kind
+          FROM (SELECT *, string_split(filename, '_') AS p FROM ({_FILES})))"""
 
 
 @query(with_ctes(_PARSED, "ev"))

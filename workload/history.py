@@ -91,5 +91,5 @@ def report_in_increments(t: Tables) -> DataFrame:
     for until in ("1998-01-15", "2100-01-01"):
         seen, trained = matches.filter(F.col("match_date") < until), training.filter(F.col("session_date") < until)
         report = build.refresh_report(
-            seen, trained, marts.development_score(seen, trained), f"{folder}/report", look_back_months=2)
+            seen, trained, marts.development_score(seen, trained), f"{folder}/report")
     return report.drop("calculated_at").withColumn("report_month", F.col("report_month").cast("string"))

@@ -61,6 +61,19 @@ def digest_in_increments(t: Tables) -> DataFrame:
         "score_change", "score_trend")
 
 
+@query(with_ctes("SELECT digest_id, player_id, week_start, development_score, score_change, score_trend FROM digest", "digest"))
+def digest_with_late_rows(t: Tables) -> DataFrame:
+    """Weeks of training alone come late, and scores stored as 0 are corrected, in all of history."""
+    m, target = Models(t), scratch_dir(t.spark, "digest")
+    scores = sinks.materialize(m.score, scratch_dir(t.spark, "score"))
+    early = scores.filter("matches_played > 0")
+    build.refresh_digest(early.withColumn(
+        "development_score", F.when(F.col("matches_won") > 0, F.col("development_score")).otherwise(0.0)), target)
+    return build.refresh_digest(scores, target).select(
+        "digest_id", "player_id", F.col("week_start").cast("date").alias("week_start"), "development_score",
+        "score_change", "score_trend")
+
+
 @query(f"""
     SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' AND {ym('o_orderdate')} >= '2000-01' THEN 'F'
                             ELSE o_orderstatus END AS o_orderstatus,
