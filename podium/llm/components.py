@@ -28,13 +28,15 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = _smallest(down)
-    return (down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(least.select("u", F.col("m").alias("v"))))
+    return down.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _flat(edges: DataFrame) -> bool:
+    """Whether every node points to one other only, and that one to none."""
+    ends = (edges.select(F.col("u").alias("n"), F.lit(1).alias("points"), F.lit(0).alias("held"))
+            .unionByName(edges.select(F.col("v").alias("n"), F.lit(0).alias("points"), F.lit(1).alias("held"))))
+    nodes = ends.groupBy("n").agg(F.sum("points").alias("points"), F.max("held").alias("held"))
+    return not nodes.agg(F.max((F.col("points") > 1) | ((F.col("points") == 1) & (F.col("held") == 1)))).first()[0]
 
 
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
@@ -45,13 +47,8 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     told = F.col(left).isNotNull() & F.col(right).isNotNull() & (F.col(left) != F.col(right))
     edges = stored(links.filter(told).select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v"))
                    .distinct(), "links")
-    state = None
-    while True:
+    while not _flat(edges):
         star = _small_star(_large_star(edges)).filter(F.col("u") != F.col("v")).distinct()
         edges = stored(star, "star")
-        now = _state(edges)
-        if now == state or not now[0]:
-            break
-        state = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

@@ -6,8 +6,8 @@ planes, so the similarity of a pair is estimated from one popcount and corrected
 Pairs that pass the estimate are confirmed on their full shingle sets.
 
 Groups are never paired off. Documents with equal sets fall into one class first. In a bucket one class
-is the hub of a star, and all classes of other components are compared with it; a few rounds take
-another hub each. Classes that the stars left in different components are then compared with one
+is the hub of a star, and all classes of other components are compared with it; a second round takes
+further hubs. Classes that the stars left in different components are then compared with one
 another, but only links confirmed on the full sets leave that join, so its result is short however large
 a bucket is. A band finds a pair of similarity 0.8 with probability 0.33, all 32 miss it with 3e-6; the
 estimate's cut lies five standard deviations below the threshold.
@@ -28,7 +28,7 @@ from podium.llm.common import mixed, slices, stored, words_of
 from podium.llm.components import components
 
 MINIMA, BANDS, BITS = 160, 32, 2
-STARS = 3
+ROUNDS = ((0,), (1, 2))  # hubs per round
 PLANE = 3  # 64-bit words per bit plane: 160 bits and 32 that are always 0
 _REMEMBERED = 1 << 16
 
@@ -199,12 +199,15 @@ def _apart(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
     return rooted.join(several, "band", "left_semi")
 
 
-def _star(members: DataFrame, turn: int, cut: float) -> DataFrame:
-    """Pairs of each bucket's hub with the members of other components that the estimate lets pass."""
-    hub = members.groupBy("band").agg(F.min(F.struct(F.xxhash64("set_key", F.lit(turn)), "set_key", "root", "bits")).alias("hub"))
-    return (members.join(hub, "band")
+def _star(members: DataFrame, turns: tuple[int, ...], cut: float) -> DataFrame:
+    """Pairs of each bucket's hubs, one per turn, with the members of other components that the estimate lets pass."""
+    hubs = members.groupBy("band").agg(*[
+        F.min(F.struct(F.xxhash64("set_key", F.lit(turn)), "set_key", "root", "bits")).alias(f"hub{turn}") for turn in turns])
+    hubs = hubs.select("band", F.explode(F.array(*[
+        F.struct(*[F.col(f"hub{turn}.{c}") for c in ("set_key", "root", "bits")]) for turn in turns])).alias("hub"))
+    return (members.join(hubs, "band")
             .filter((F.col("root") != F.col("hub.root")) & (estimate(F.col("hub.bits"), F.col("bits")) >= cut))
-            .select(F.col("hub.set_key").alias("a"), F.col("set_key").alias("b")).distinct())
+            .select(F.least("hub.set_key", "set_key").alias("a"), F.greatest("hub.set_key", "set_key").alias("b")).distinct())
 
 
 def _across(members: DataFrame, sets: DataFrame, bands: DataFrame, percent: int, cut: float) -> DataFrame:
@@ -233,18 +236,18 @@ def component_roots(docs: DataFrame, found: DataFrame, shingle_words: int, perce
                      .groupBy("set_key").agg(F.first("bits").alias("bits"), F.first("bands").alias("bands")), "classes")
     live = stored(_live(classes, cut), "live")
     sets = _sets_for(live.select("set_key").distinct(), found, docs, shingle_words)
-    links, roots = None, None
-    for turn in range(STARS + 1):
+    roots = None
+    for turns in (*ROUNDS, ()):
         # One star settles a bucket of two; from then on only buckets left in several components count.
-        active = stored(_apart(live if turn == 0 else live.filter("n > 2"), roots), "active")
-        if turn and active.isEmpty():
+        active = stored(_apart(live if roots is None else live.filter("n > 2"), roots), "active")
+        if roots is not None and active.isEmpty():
             break
-        if turn < STARS:
-            fresh = _confirmed(stored(_star(active, turn, cut), "star-pairs"), sets, percent)
+        if turns:
+            links = _confirmed(stored(_star(active, turns, cut), "star-pairs"), sets, percent)
         else:
-            fresh = _across(active, sets, classes.select("set_key", "bands"), percent, cut)
-        fresh = stored(fresh, "fresh-links")
-        links = fresh if links is None else links.unionByName(fresh)
+            links = _across(active, sets, classes.select("set_key", "bands"), percent, cut)
+        if roots is not None:  # what is known of the components stands for the links they came from
+            links = links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = components(links, "a", "b")
     return roots
 
