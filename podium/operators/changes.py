@@ -18,11 +18,21 @@ from podium.schemas import EVAL_SET
 
 
 def unseen(df: DataFrame, existing: DataFrame | None, keys: Sequence[str], order: Sequence) -> DataFrame:
-    """Rows to insert: one per key, and only keys the target does not hold."""
-    fresh = dedupe(df, keys, order)
+    """Rows to insert: one per key, and only keys the target does not hold.
+
+    A row that lacks part of its key cannot be known again and is no row to insert, see :func:`keyless`.
+    """
+    fresh = dedupe(df.dropna(subset=list(keys)), keys, order)
     return fresh if existing is None else new_only(fresh, existing, keys)
 
 
+def keyless(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that lack part of their key, with an id made of what they hold besides lineage."""
+    content = [c for c in df.columns if not c.startswith("_")]
+    return (df.filter(F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False)))
+            .withColumn("reject_id", F.sha2(F.to_json(F.struct(*content)), 256)))
+
+
 def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Changed keys replaced, new keys added, every other row kept."""
     return new_only(target, changes, keys).unionByName(changes)

@@ -19,6 +19,9 @@ from podium.operators.conform import conform
 from podium.operators.joins import new_only
 from podium.operators.windows import dedupe
 from podium.schemas import FINDINGS, declare
+from podium.session import scratch_dir
+from podium.sources.readers import table, table_exists
+from podium.sources.sinks import insert_new, materialize
 
 # The functions run on workers that may not have this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -102,3 +105,22 @@ def run_audit(matches: DataFrame, training: DataFrame, judge: Judge,
         cases = new_only(cases, existing, ["session_id"])
     return dedupe(findings_of(audit(cases, judge), now), ["session_id"],
                   [rank_of("severity", SEVERITIES), "finding_id"])
+
+
+def store_audit(matches: DataFrame, training: DataFrame, judge: Judge, verdict_table: str, finding_table: str,
+                calls_in_parallel: int | None = None, now: Column | None = None) -> None:
+    """Judge the sessions without a verdict, and keep every verdict, failed calls with their error.
+
+    A failed call is tried again by the next run. Verdicts are written once before they are routed;
+    findings come first, so that a run that breaks off pays for calls again but loses none.
+    """
+    spark, now = matches.sparkSession, F.current_timestamp() if now is None else now
+    cases = audit_context(matches, "match").unionByName(audit_context(training, "training"))
+    if table_exists(spark, verdict_table):
+        cases = new_only(cases, table(spark, verdict_table).filter("error IS NULL"), ["session_type", "session_id"])
+    tasks = calls_in_parallel or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    verdicts = audit(cases.repartition(tasks, "session_type", "session_id"), judge).withColumn("audited_at", now)
+    fresh = materialize(verdicts, scratch_dir(spark, "verdicts"))
+    insert_new(findings_of(fresh, F.col("audited_at")), finding_table, ["session_id"],
+               [rank_of("severity", SEVERITIES), "finding_id"])
+    insert_new(fresh, verdict_table, ["session_type", "session_id", "audited_at"], ["raw_note_text"])

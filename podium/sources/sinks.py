@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podium.operators.changes import unseen, upsert
+from podium.operators.changes import keyless, unseen, upsert
 from podium.session import scratch_dir
 from podium.sources.readers import is_path, table, table_exists
 
@@ -31,11 +31,24 @@ def materialize(df: DataFrame, target: str, partition_by: Sequence[str] = (),
 
 
 def insert_new(df: DataFrame, target: str, keys: Sequence[str], order: Sequence,
-               partition_by: Sequence[str] = ()) -> None:
-    """Idempotent insert: a key is written once, however often its batch is replayed."""
+               partition_by: Sequence[str] = (), rejects: str | None = None) -> None:
+    """Idempotent insert: a key is written once, however often its batch is replayed.
+
+    Rows that lack part of their key go to the table ``rejects``, equal ones once, where it is named.
+    """
     spark = df.sparkSession
     existing = table(spark, target) if table_exists(spark, target) else None
     append(unseen(df, existing, keys, order), target, partition_by)
+    if rejects is not None:
+        insert_new(keyless(df, keys), rejects, ["reject_id"], ["reject_id"])
+
+
+def replace(df: DataFrame, target: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> None:
+    """Replace the whole table by rows that may be read from it.
+
+    They are staged in the shared folder first, where they stay should the write fail.
+    """
+    overwrite(materialize(df, scratch_dir(df.sparkSession, "replacement")), target, partition_by, cluster_by)
 
 
 def upsert_partitions(changes: DataFrame, target: str, keys: Sequence[str], partition: str) -> None:

@@ -26,11 +26,11 @@ def run_available_now(stream: DataFrame, batch: Callable[[DataFrame, int], None]
 
 
 def insert_batches(target: str, keys: Sequence[str], order: Sequence[str | Column],
-                   partition_by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+                   partition_by: Sequence[str] = (), rejects: str | None = None) -> Callable[[DataFrame, int], None]:
     """Batch function that inserts unseen keys and skips an empty batch."""
     def write(batch: DataFrame, _batch_id: int) -> None:
         if not batch.isEmpty():
-            insert_new(batch, target, keys, order, partition_by)
+            insert_new(batch, target, keys, order, partition_by, rejects)
     return write
 
 
@@ -44,10 +44,11 @@ def ingest_students(spark: SparkSession, folder: str, target: str, checkpoint: s
 
 
 def ingest_intake(events: DataFrame, target: str, checkpoint: str, version: str = "v1.0",
-                  now: Column | None = None) -> None:
-    """Intake events, one row per ``intake_id``: the first one submitted."""
+                  now: Column | None = None, rejects: str | None = None) -> None:
+    """Intake events, one row per ``intake_id``: the first one submitted; those without go to ``rejects``."""
     rows = enrich_intake(events, version, now)
-    run_available_now(rows, insert_batches(target, ["intake_id"], ["submitted_at", *_tie(events)]), checkpoint)
+    run_available_now(
+        rows, insert_batches(target, ["intake_id"], ["submitted_at", *_tie(events)], rejects=rejects), checkpoint)
 
 
 def ingest_session_files(spark: SparkSession, folder: str, target: str, checkpoint: str,

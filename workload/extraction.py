@@ -187,3 +187,19 @@ def audit_findings(t: Tables) -> DataFrame:
     known = t.labels.select(F.concat(F.lit("m"), "doc_id").alias("session_id"))
     return auditing.run_audit(t.raw_matches, t.raw_training, rule_judge, known,
                               F.lit("2024-04-01").cast("timestamp")).select(*FINDINGS.names)
+
+
+@query(with_ctes(f"""
+    SELECT session_type, session_id, failed AS error, TIMESTAMP '2024-04-01' AS audited_at FROM (
+        SELECT *, CASE WHEN contains(statistics, 'Winners: 13' || chr(10)) THEN 'RuntimeError: no answer' END AS failed
+        FROM ({_CASES}))
+    UNION ALL
+    SELECT session_type, session_id, 'RuntimeError: no answer', TIMESTAMP '2024-04-02'
+    FROM ({_CASES}) WHERE contains(statistics, 'Winners: 13' || chr(10))""", "raw_match", "raw_training"))
+def audit_verdicts(t: Tables) -> DataFrame:
+    """Two runs: the second judges those sessions only whose call had failed."""
+    verdicts, findings = scratch_dir(t.spark, "verdicts"), scratch_dir(t.spark, "findings")
+    for day in ("2024-04-01", "2024-04-02"):
+        auditing.store_audit(t.raw_matches, t.raw_training, rule_judge, verdicts, findings,
+                             now=F.lit(day).cast("timestamp"))
+    return table(t.spark, verdicts).select("session_type", "session_id", "error", "audited_at")

@@ -49,6 +49,31 @@ def insert_twice(t: Tables) -> DataFrame:
     return readers.table(t.spark, target)
 
 
+@query("""
+    SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'
+    UNION ALL SELECT DISTINCT NULL, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus = 'P'""")
+def insert_without_keys(t: Tables) -> DataFrame:
+    """Pending orders arrive without their key, twice: equal ones are kept once, apart from the others."""
+    target, rejects = scratch_dir(t.spark, "orders"), scratch_dir(t.spark, "rejects")
+    load = t.orders.select(
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("o_orderkey"), "o_custkey", "o_orderstatus")
+    for _ in range(2):
+        sinks.insert_new(load, target, ["o_orderkey"], ["o_custkey"], rejects=rejects)
+    return readers.table(t.spark, target).unionByName(readers.table(t.spark, rejects).drop("reject_id"))
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice + 2 AS o_totalprice FROM orders")
+def replace_own_input(t: Tables) -> DataFrame:
+    """A table replaced twice by rows read from itself."""
+    target = scratch_dir(t.spark, "orders")
+    sinks.overwrite(t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice"), target, ["o_orderstatus"])
+    for _ in range(2):
+        raised = readers.table(t.spark, target).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+        sinks.replace(raised, target, ["o_orderstatus"])
+    return readers.table(t.spark, target).select(
+        "o_orderkey", F.col("o_orderstatus").cast("string").alias("o_orderstatus"), "o_totalprice")
+
+
 @query(with_ctes("SELECT digest_id, player_id, week_start, development_score, score_change, score_trend FROM digest", "digest"))
 def digest_in_increments(t: Tables) -> DataFrame:
     """Three runs over growing history give the digest of one full run."""
