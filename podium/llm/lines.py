@@ -1,8 +1,10 @@
 """Line de-duplication by pairwise alignment.
 
-Documents are compared as sequences of line hashes. A line that occurs in several documents points from
-each later one to the first that holds it, so a line that n documents share makes n - 1 pairs and never
-all of them. A pair is aligned if it shares a rare line, or enough text in such lines to fill a block.
+Documents are compared as sequences of line hashes. A run is the shortest series of lines, from a line on
+or up to a line, that has ``block_chars`` characters; every common block is covered by the runs within it.
+A run or line that occurs in several documents points from each later one to the first that holds it, so
+what n documents share makes n - 1 pairs and never all of them. A pair is aligned if it shares a run, a rare
+line, or enough text in single lines to fill a block.
 The alignment is patience diff: lines unique in both stretches, in their longest common order, are
 anchors; between anchors it recurses, and equal lines next to an anchor join it. Runs of aligned lines
 with at least ``block_chars`` characters are common blocks, and are deleted from the later document.
@@ -16,15 +18,17 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import slices, stored
+from podium.llm.common import mixed, slices, stored
 
 BLOCK_CHARS = 160
 RARE = 8
 RARE_CHARS = 40
+_FACTOR = 0x9E3779B97F4A7C15  # odd, so it has an inverse among 64-bit numbers
 
 
 def _ordered_anchors(a: Sequence[int], b: Sequence[int], a0: int, a1: int, b0: int, b1: int) -> list[tuple[int, int]]:
@@ -91,6 +95,29 @@ def common_lines(later: Sequence[int], earlier: Sequence[int], chars: Sequence[i
     return found
 
 
+def _powers(factor: int, n: int) -> np.ndarray:
+    return np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, factor, np.uint64)]))
+
+
+def runs(lines: Sequence[int], chars: Sequence[int], block_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First line, end and hash of the shortest runs of ``block_chars`` characters from and up to each line.
+
+    Every line of a series with that many characters lies in such a run within the series, blank ones at
+    its ends aside.
+    """
+    n = len(lines)
+    total = np.concatenate([[0], np.cumsum(np.asarray(chars, np.int64))])
+    written = np.flatnonzero(np.diff(total) > 0)
+    ends = np.searchsorted(total, total[written] + block_chars)
+    begins = np.searchsorted(total, total[written + 1] - block_chars, "right") - 1
+    start = np.concatenate([written[ends <= n], begins[begins >= 0]])
+    end = np.concatenate([ends[ends <= n], written[begins >= 0] + 1])
+    terms = np.asarray(lines, np.int64).view(np.uint64) * _powers(_FACTOR, n)[:n]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
+    back = _powers(pow(_FACTOR, -1, 1 << 64), n)
+    return start, end, mixed((sums[end] - sums[start]) * back[start]).view(np.int64)
+
+
 def _nodes(docs: DataFrame) -> DataFrame:
     """Distinct (id, text) with the hashes and lengths of their lines, white space at the ends aside."""
     lines = F.transform(F.split("text", "\n"), lambda line: F.trim(line))
@@ -101,6 +128,17 @@ def _nodes(docs: DataFrame) -> DataFrame:
             .dropDuplicates(["node"]))
 
 
+def _runs(nodes: DataFrame, block_chars: int) -> DataFrame:
+    """``node`` and ``hash`` of the distinct runs of every document."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [np.unique(runs(a, c, block_chars)[2]) for a, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "runs"])
+
+    found = nodes.select("node", "lines", "chars").mapInArrow(work, "node struct<doc_id:bigint,text_hash:bigint>, runs array<bigint>")
+    return found.select("node", F.explode("runs").alias("hash"))
+
+
 def common_blocks(docs: DataFrame, block_chars: int = BLOCK_CHARS, rare: int = RARE) -> DataFrame:
     """``node`` (id and text hash) and ``removed``, the places of the lines to delete, of later documents."""
     nodes = stored(_nodes(docs), "lines")
@@ -111,6 +149,9 @@ def common_blocks(docs: DataFrame, block_chars: int = BLOCK_CHARS, rare: int = R
     pairs = (held.join(shared, "hash").filter("node != first").groupBy("node", "first")
              .agg(F.sum("chars").alias("support"), F.max(is_rare).alias("rare"))
              .filter(F.col("rare") | (F.col("support") >= block_chars)).select("node", "first"))
+    whole = _runs(nodes, block_chars)
+    several = whole.groupBy("hash").agg(F.min("node").alias("first"), F.count("*").alias("holders")).filter("holders > 1")
+    pairs = pairs.unionByName(whole.join(several, "hash").filter("node != first").select("node", "first")).distinct()
     sides = (pairs.join(nodes, "node")
              .join(nodes.select(F.col("node").alias("first"), F.col("lines").alias("earlier")), "first"))
 

@@ -149,6 +149,28 @@ def test_line_dedup(docs, none, spark):
     assert lines.line_dedup(none).collect() == []
 
 
+def test_line_dedup_of_blocks_whose_lines_have_different_first_holders(spark):
+    """Four lines of 50 characters stand singly in four old documents, and together in forty later ones."""
+    block = [prose(40, 700 + i)[:50] for i in range(4)]
+    rows = [(i, f"{prose(9, 800 + i)}\n{block[i]}\n{prose(9, 810 + i)}") for i in range(4)]
+    rows += [(10 + i, "\n".join([prose(9, 820 + i), *block[:2], "", *block[2:], f"end {i}"])) for i in range(40)]
+    got = {r.doc_id: r for r in lines.line_dedup(spark.createDataFrame(rows, "doc_id bigint, text string"), rare=2).collect()}
+    assert all(got[i].n_removed == 0 for i in (0, 1, 2, 3, 10))
+    assert all(got[10 + i].text == prose(9, 820 + i) + f"\nend {i}" for i in range(1, 40))
+
+
+def test_runs_cover_every_common_block():
+    rng = random.Random(6)
+    for _ in range(300):
+        chars = [rng.choice((0, 0, 3, 30, 50, 90)) for _ in range(rng.randint(1, 14))]
+        block = [rng.randint(-9 ** 18, 9 ** 18) if c else 0 for c in chars]
+        pad = [rng.randint(-9 ** 18, 9 ** 18) for _ in range(rng.randint(0, 9))]
+        start, end, whole = lines.runs([*pad, *block, 5], [*([20] * len(pad)), *chars, 70], 160)
+        covered = {i for a, b, h in zip(start, end, whole) if h in set(lines.runs(block, chars, 160)[2])
+                   for i in range(a - len(pad), b - len(pad))}
+        assert covered >= ({i for i, c in enumerate(chars) if c} if sum(chars) >= 160 else set())
+
+
 def test_alignment_is_common_and_rising():
     rng = random.Random(2)
     for _ in range(200):
