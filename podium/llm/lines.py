@@ -7,7 +7,8 @@ what n documents share makes n - 1 pairs and never all of them. A pair is aligne
 line, or enough text in single lines to fill a block.
 The alignment is patience diff: lines unique in both stretches, in their longest common order, are
 anchors; between anchors it recurses, and equal lines next to an anchor join it. Runs of aligned lines
-with at least ``block_chars`` characters are common blocks, and are deleted from the later document.
+with at least ``block_chars`` characters are common blocks; between them the heaviest further ones are sought
+without anchors. They are deleted from the later document, with all their repetitions there.
 
 The first holder of a line is never deleted for that line, so one copy of everything stays.
 """
@@ -80,19 +81,76 @@ def align(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
+def _blocks_between(later: Sequence[int], earlier: Sequence[int], chars: Sequence[int], total: np.ndarray,
+                    known: list[tuple[int, int, int]], block_chars: int) -> list[tuple[int, int, int]]:
+    """``known`` blocks (line of later, line of earlier, lines), rising in both, and the heaviest ones that fit between."""
+    start, end, whole = runs(later, chars, block_chars)
+    sizes = dict(zip(later, chars))
+    start_e, end_e, whole_e = runs(earlier, [sizes.get(line, 0) for line in earlier], block_chars)
+    both = np.isin(whole, whole_e)
+    start, end, whole = start[both], end[both], whole[both]
+    also = np.isin(whole_e, whole)
+    start_e, end_e, whole_e = start_e[also], end_e[also], whole_e[also]
+    found, todo = list(known), []
+    a0 = b0 = 0
+    for i, j, n in [*known, (len(later), len(earlier), 0)]:
+        todo.append((a0, i, b0, j))
+        a0, b0 = i + n, j + n
+    while todo:
+        a0, a1, b0, b1 = todo.pop()
+        inside = np.flatnonzero((start >= a0) & (end <= a1))
+        inside_e = np.flatnonzero((start_e >= b0) & (end_e <= b1))
+        if not len(inside) or not len(inside_e):
+            continue
+        place = dict(zip(whole_e[inside_e][::-1].tolist(), start_e[inside_e][::-1].tolist()))
+        best, reached = None, {}
+        for i, h in sorted(zip(start[inside].tolist(), whole[inside].tolist())):
+            j = place.get(h)
+            if j is None or i < reached.get(i - j, 0):
+                continue
+            x, y, n = i, j, 0
+            while x > a0 and y > b0 and later[x - 1] == earlier[y - 1]:
+                x, y = x - 1, y - 1
+            while x + n < a1 and y + n < b1 and later[x + n] == earlier[y + n]:
+                n += 1
+            reached[i - j] = x + n
+            weight = int(total[x + n] - total[x])
+            if weight >= block_chars and (best is None or weight > best[0]):
+                best = (weight, x, y, n)
+        if best:
+            _, x, y, n = best
+            found.append((x, y, n))
+            todo += [(a0, x, b0, y), (x + n, a1, y + n, b1)]
+    return sorted(found)
+
+
 def common_lines(later: Sequence[int], earlier: Sequence[int], chars: Sequence[int], block_chars: int) -> list[int]:
-    """Lines of ``later`` that lie in an aligned run of ``block_chars`` or more characters."""
-    found: list[int] = []
-    run: list[int] = []
-    before = None
-    for i, j in [*align(later, earlier), (-1, -1)]:
-        if before is None or (i, j) != (before[0] + 1, before[1] + 1):
-            if sum(chars[k] for k in run) >= block_chars:
-                found += run
-            run = []
-        run.append(i)
-        before = (i, j)
-    return found
+    """Lines of ``later`` that lie in an aligned run of ``block_chars`` or more characters, or in its repetitions.
+
+    Where the alignment has no block, as it finds no unique line or follows short ones, the heaviest common
+    block of the stretch is taken, and again on either side of it. Blocks rise in both documents: of two
+    that changed places one is taken. What is taken is then found in ``later`` wherever it stands.
+    """
+    total = np.concatenate([[0], np.cumsum(np.asarray(chars, np.int64))])
+    aligned: list[tuple[int, int, int]] = []
+    for i, j in align(later, earlier):
+        if aligned and (i, j) == (aligned[-1][0] + aligned[-1][2], aligned[-1][1] + aligned[-1][2]):
+            aligned[-1] = (*aligned[-1][:2], aligned[-1][2] + 1)
+        else:
+            aligned.append((i, j, 1))
+    blocks = [(i, j, n) for i, j, n in aligned if total[i + n] - total[i] >= block_chars]
+    blocks = _blocks_between(later, earlier, chars, total, blocks, block_chars)
+    removed = np.zeros(len(later), bool)
+    for i, _, n in blocks:
+        removed[i:i + n] = True
+    if blocks and not removed.all():
+        start, end, whole = runs(later, chars, block_chars)
+        inside = np.zeros(len(whole), bool)
+        for i, _, n in blocks:
+            inside |= (start >= i) & (end <= i + n)
+        for at in np.flatnonzero(np.isin(whole, whole[inside]) & ~inside):
+            removed[start[at]:end[at]] = True
+    return np.flatnonzero(removed).tolist()
 
 
 def _powers(factor: int, n: int) -> np.ndarray:

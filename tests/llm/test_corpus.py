@@ -171,6 +171,26 @@ def test_runs_cover_every_common_block():
         assert covered >= ({i for i, c in enumerate(chars) if c} if sum(chars) >= 160 else set())
 
 
+def test_repeated_passages_are_common_lines():
+    p, q = [101, 102, 103], [104, 105]  # 180 characters
+    def found(later, earlier):
+        return lines.common_lines(later, earlier, [{101: 60, 102: 60, 103: 60, 104: 90, 105: 90}.get(k, 20) for k in later], 160)
+    assert found([1, *p, 2, *p, 3], [8, *p, 9]) == [1, 2, 3, 5, 6, 7]
+    assert found([*p, *p], p) == [0, 1, 2, 3, 4, 5]
+    assert found([1, *p, 2, *q, *p, 3], [8, *p, 9, *p, *q]) == [1, 2, 3, 5, 6, 7, 8, 9]
+    assert found([1, *p, 2, 3, 4, 5, 6], [2, 3, 4, 5, 6, 7, *p]) == [1, 2, 3]  # short lines in another order
+    assert found([1, 101, 102, 2, *p[1:], 3], [8, *p, 9]) == []
+    rng = random.Random(7)
+    for _ in range(300):
+        earlier, later = ([rng.randint(0, 9) for _ in range(rng.randint(0, 40))] for _ in range(2))
+        chars = [20 * (k % 4) for k in later]
+        runs = {i: {i + n for n in range(1, len(later) - i + 1) if sum(chars[i:i + n]) >= 100
+                    and any(earlier[j:j + n] == later[i:i + n] for j in range(len(earlier)))} for i in range(len(later))}
+        possible = {k for i, ends in runs.items() for end in ends for k in range(i, end)}
+        got = set(lines.common_lines(later, earlier, chars, 100))
+        assert got <= possible and bool(got) == bool(possible)
+
+
 def test_alignment_is_common_and_rising():
     rng = random.Random(2)
     for _ in range(200):
