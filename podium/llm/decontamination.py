@@ -1,5 +1,9 @@
 """Benchmark decontamination: BM25 retrieval of test items, then a check of question and answer.
 
+The check is met by shingles of both, found anywhere in the document, or, in a retrieved passage, by a copy
+that edits have changed: the words of a part are aligned with the passage, and what counts is the share of
+them that needs no replacing, inserting or leaving out.
+
 The test items are the indexed side and every passage of the corpus is a query. A posting holds an
 item's share: the term's BM25 weight over the item's score against itself, so one threshold means the
 same part of any item. Postings are sorted by item and cut into blocks with their largest share, and
@@ -32,6 +36,7 @@ from podium.llm.common import slices, stored
 THRESHOLD = 0.6  # of an item's own score
 LIGHT = 0.3
 OVERLAP = 0.8
+NEARLY = 0.85  # of a whole item's words, or of the question's before an answer of one shingle
 SHINGLE = 5
 K1, B = 1.2, 0.75
 BLOCK = 16
@@ -58,6 +63,26 @@ def shingles(words: list[str], k: int = SHINGLE) -> set[tuple[str, ...]]:
     return {tuple(words[i:i + k]) for i in range(len(words) - k + 1)} if k else set()
 
 
+def kept_words(wanted: list[str], passage: list[str]) -> float:
+    """Share of ``wanted`` left after the fewest word edits to any stretch of ``passage``, by bit vectors."""
+    n = len(wanted)
+    places: dict[str, int] = {}
+    for i, word in enumerate(wanted):
+        places[word] = places.get(word, 0) | 1 << i
+    every, last = (1 << n) - 1, 1 << n - 1
+    more, less, edits, fewest = every, 0, n, n
+    for word in passage:
+        equal = places.get(word, 0)
+        vertical = equal | less
+        across = ((((equal & more) + more) ^ more) | equal) & every
+        up, down = less | (every & ~(across | more)), more & across
+        edits += 1 if up & last else -1 if down & last else 0
+        fewest = min(fewest, edits)
+        up, down = up << 1 & every, down << 1 & every
+        more, less = down | (every & ~(vertical | up)), up & vertical
+    return (n - fewest) / n
+
+
 @dataclass
 class Postings:
     """A term's items in order, their shares, and per block the last item and the largest share."""
@@ -148,7 +173,9 @@ class Index:
                  passage: int = PASSAGE):
         counts = [Counter(words_in(text)) for _, text in items]
         self.ids = [i for i, _ in items]
-        self.parts = [tuple(shingles(w) for w in question_and_answer(text)) for _, text in items]
+        self.words = [question_and_answer(text) for _, text in items]
+        self.wholes = [words_in(text) for _, text in items]
+        self.parts = [tuple(map(shingles, both)) for both in self.words]
         lengths = [sum(c.values()) for c in counts]
         postings: dict[str, list[tuple[int, float]]] = defaultdict(list)
         heavy: dict[str, list[tuple[int, float]]] = defaultdict(list)
@@ -177,16 +204,17 @@ class Index:
         get, unknown = self.vocabulary.get, -1
         return np.fromiter((get(w, unknown) for w in words), np.int64, len(words))
 
-    def retrieved(self, terms: np.ndarray, threshold: float) -> dict[int, float]:
-        """Items that some passage retrieves, with their best share.
+    def retrieved(self, terms: np.ndarray, threshold: float) -> dict[int, tuple[float, list[int]]]:
+        """Items that some passage retrieves, with their best share and these passages.
 
         Passages are two strides long and start at every stride, so no item of a stride's length is cut.
         """
-        best: dict[int, float] = {}
+        best: dict[int, tuple[float, list[int]]] = {}
         for passage in self._hopeful(terms, threshold):
             held = np.unique(terms[passage * self.stride:(passage + 2) * self.stride])
             for item, score in block_max_wand([self.lists[t] for t in held.tolist() if t >= 0], threshold):
-                best[item] = max(score, best.get(item, 0.0))
+                before, places = best.get(item, (0.0, []))
+                best[item] = max(score, before), [*places, passage]
         return best
 
     def _hopeful(self, terms: np.ndarray, threshold: float) -> list[int]:
@@ -208,12 +236,12 @@ class Index:
         return np.unique(keys[reach >= threshold - 1e-6] // len(self.ids)).tolist()
 
     def leaks(self, text: str | None, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> list[tuple[int, float, float, float]]:
-        """Item, share, and the parts of its question and answer found in the text, all of them enough."""
+        """Item, share, and the parts of its question and answer found in the text, enough of them."""
         words = words_in(text) if text else []
         found = self.retrieved(self.terms_of(words), threshold) if words else {}
         out = []
         held: dict[int, set] = {}
-        for k, share in sorted(found.items()):
+        for k, (share, passages) in sorted(found.items()):
             parts = []
             for wanted in self.parts[k]:
                 width = len(next(iter(wanted)))
@@ -222,8 +250,25 @@ class Index:
                 parts.append(len(wanted & held[width]) / len(wanted))
             if min(parts) >= overlap:
                 out.append((self.ids[k], share, *parts))
+            elif near := self._nearly(k, words, passages, parts, overlap):
+                out.append((self.ids[k], share, *near))
         return out
 
+    def _nearly(self, item: int, words: list[str], passages: list[int], parts: list[float], overlap: float) -> list[float]:
+        """The parts of question and answer that a retrieved passage keeps, if it holds an edited copy.
+
+        That is enough of both, nearly the whole item, or nearly all of the question where the answer is no
+        longer than a shingle. Passages are read half a stride further, as edits may have added words.
+        """
+        whole, answer = self.wholes[item], self.words[item][1]
+        for at in passages:
+            passage = words[at * self.stride:(at + 2) * self.stride + self.stride // 2]
+            kept = [max(part, kept_words(wanted, passage)) for part, wanted in zip(parts, self.words[item])]
+            if (min(kept) >= overlap or len(answer) <= SHINGLE and kept[0] >= NEARLY
+                    or kept_words(whole, passage) >= NEARLY):
+                return kept
+        return []
+
 
 def index_parts(items: DataFrame, part_words: int = PART_WORDS) -> Iterator[Index]:
     """The index, part by part; a part holds up to ``part_words`` words, or one longer item.
@@ -252,7 +297,9 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     """``doc_id``, ``item_id``, ``share``, ``question_overlap``, ``answer_overlap`` per leak.
 
     An item leaks into a document if a passage reaches ``threshold`` of its score and ``overlap`` of the
-    five-word shingles of its question and of its answer occur in the document. Null and empty texts and
+    five-word shingles of its question and of its answer occur in the document, or the passage holds an edited
+    copy: word for word, ``overlap`` of question and answer, ``NEARLY`` of the whole, or ``NEARLY`` of the question
+    if the answer has at most five words. A question without its longer answer is no leak. Null and empty texts and
     items give no rows; repeated rows repeat theirs; equal items are reported each; an empty side gives
     no rows; extra columns are not read.
     """

@@ -276,6 +276,43 @@ def test_decontamination(spark, docs, none):
     assert len(parts) > 3 and sum(len(p.ids) for p in parts) == 41
 
 
+def test_decontamination_of_edited_copies(spark):
+    rng = random.Random(21)
+    items = [(i, f"{prose(rng.randint(12, 40), 95_000 + i).capitalize()}? {prose(rng.randint(1, 9), 95_500 + i).capitalize()}.") for i in range(60)]
+    rows, clean = [], []
+    for i, text in items:
+        words = text.split(" ")
+        for edits in (1, 2):
+            changed_words = list(words)
+            for at in rng.sample(range(len(words)), edits):
+                changed_words[at] = f"zz{at}" + "?" * words[at].endswith("?")
+            rows.append((10 * i + edits, f"{prose(90, 96_000 + i)} {' '.join(changed_words)} {prose(90, 97_000 + i)}"))
+        question, answer = text.split("? ")
+        rows.append((10 * i + 3, f"{prose(90, 96_000 + i)} {question}. {prose(90, 97_000 + i)}"))
+        if len(answer.split()) > 5 and len(question.split()) < 0.85 * len(words):
+            clean.append(10 * i + 3)
+    rows.append((5000, prose(4000, 98_000)))
+    df, bench = (spark.createDataFrame(r, f"{i} bigint, text string") for r, i in ((rows, "doc_id"), (items, "item_id")))
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(df, bench).collect()}
+    assert got >= {(d, d // 10) for d, _ in rows if d < 5000 and d % 10 in (1, 2)}
+    left = {d for d, _ in rows} - {d for d, _ in got}
+    assert left <= {*clean, 5000} and 5000 in left
+    assert {r.doc_id for r in decontamination.uncontaminated(df, bench).collect()} == left
+
+
+def test_kept_words_counts_edits():
+    rng = random.Random(9)
+    for _ in range(200):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(1, n))] for n in (9, 25))
+        row = [0] * (len(b) + 1)
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        assert decontamination.kept_words(a, b) == (len(a) - min(row)) / len(a)
+
+
 def test_block_max_wand_finds_all():
     rng = random.Random(8)
     for _ in range(60):
