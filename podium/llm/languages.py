@@ -1,7 +1,7 @@
 """Language identification by Bayesian evidence fusion.
 
-The text's likelihood under every language comes from byte trigrams, learnt from a bounded sample of
-labelled rows. It is fused with what surrounds the text: the language its markup declares, and the
+The text's likelihood under every language comes from byte trigrams, learnt from a bounded sample of each
+language's labelled rows. It is fused with what surrounds the text: the language its markup declares, and the
 host's own mix of languages, smoothed towards the mix of the host's address suffix and that towards the
 mix of the whole corpus. Mixes and the reliability of declarations are counted over all rows, by grouped
 aggregation on the languages that the texts alone suggest; a row's own vote is left out of its host's.
@@ -17,7 +17,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from podium.llm.common import slices, stored
@@ -41,16 +41,41 @@ def trigrams(text: str) -> Iterator[np.ndarray]:
         yield (code * np.uint32(2654435761)) >> np.uint32(17)
 
 
+def _even_share(sizes: list[int], sample: int) -> int:
+    """Largest number of rows per label with which all labels together have at most ``sample``, one at least."""
+    left = sample
+    for k, size in enumerate(sorted(sizes)):
+        share = left // (len(sizes) - k)
+        if size > share:
+            return max(1, share)
+        left -= size
+    return max(sizes, default=1)
+
+
+def _sampled(rows: DataFrame, sample: int) -> DataFrame:
+    """``label``, ``text`` of the distinct rows with each label's smallest draws, as many as its even share."""
+    drawn = stored(rows.select("label", "draw").distinct(), "draws")
+    sizes = {r["label"]: r["n"] for r in drawn.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return rows.select("label", "text")
+    each = F.row_number().over(Window.partitionBy("label").orderBy("draw"))
+    cuts = (drawn.withColumn("place", each).filter(F.col("place") <= _even_share(list(sizes.values()), sample))
+            .groupBy("label").agg(F.max("draw").alias("cut")).collect())
+    cut = F.map_from_arrays(F.lit([r["label"] for r in cuts]), F.lit([r["cut"] for r in cuts]).cast("array<bigint>"))
+    return rows.filter(F.col("draw") <= F.element_at(cut, F.col("label"))).select("label", "text").dropDuplicates()
+
+
 def fitted(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages and their log probabilities per bucket, ``und`` last.
 
-    ``labelled`` has ``text`` and ``label``; those with the smallest hashes of both are the sample. Counts are added up
-    on the executors; the driver gets one row per language and bucket.
+    ``labelled`` has ``text`` and ``label``. The languages are the labels of all rows. The sample holds at most
+    ``sample`` distinct rows, those with the smallest hashes of both within their label: labels share it evenly,
+    what one does not need goes to the others, and each has a row at least, however many there are. Counts are
+    added up on the executors; the driver gets one row per language and bucket.
     """
     rows = (labelled.filter("text IS NOT NULL AND label IS NOT NULL AND text != '' AND label != ''")
-            .select("label", "text", F.xxhash64("text", "label").alias("draw")))
-    cut = rows.select("draw").orderBy("draw").limit(sample).agg(F.max("draw").alias("cut")).first()["cut"]
-    chosen = rows.filter(F.col("draw") <= F.lit(cut).cast("bigint")).select("label", "text").dropDuplicates()
+            .filter(F.col("label") != UND).select("label", "text", F.xxhash64("text", "label").alias("draw")))
+    chosen = _sampled(rows, sample)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -66,11 +91,11 @@ def fitted(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.nda
 
     counted = (chosen.mapInArrow(count, "label string, bucket bigint, n bigint")
                .groupBy("label", "bucket").agg(F.sum("n").alias("n")).collect())
-    languages = sorted({r["label"] for r in counted} - {UND})
+    languages = sorted({r["label"] for r in counted})
+    place = {label: k for k, label in enumerate(languages)}
     table = np.full((len(languages) + 1, BUCKETS), 0.5)
     for r in counted:
-        if r["label"] != UND:
-            table[languages.index(r["label"]), r["bucket"]] += r["n"]
+        table[place[r["label"]], r["bucket"]] += r["n"]
     table[-1] = 1.0
     return [*languages, UND], np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
 

@@ -345,6 +345,21 @@ def test_languages(spark, docs, none):
     assert pages.filter("not rejected").count() > 0.9 * pages.count()
 
 
+def test_rare_languages_are_known(spark):
+    """One language of 3000 rows, most of them copies, and two of a row or two: a sample of 40 has all."""
+    rows = [(i, prose(30, 3000 + (i % 900)), "aa") for i in range(3000)]
+    rows += [(5000, "żółć gęślą jaźń " * 20, "pl"), (5001, "щука ёж объём " * 20, "ru"), (5002, "щука ёж съезд " * 20, "ru")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").withColumn("source", __import__("pyspark").sql.functions.lit("h"))
+    names, model = languages.fitted(table.selectExpr("text", "lang AS label"), 40)
+    assert names == ["aa", "pl", "ru", "und"] and np.isfinite(model).all()
+    found = {r.doc_id: r.language for r in languages.identify(table, sample=40).collect()}
+    assert (found[5000], found[5001], found[5002], found[7]) == ("pl", "ru", "ru", "aa")
+    rows = table.selectExpr("lang AS label", "text", "xxhash64(text, lang) AS draw")
+    drawn = collections.Counter(r.label for r in languages._sampled(rows, 40).collect())
+    assert drawn == {"aa": 37, "pl": 1, "ru": 2}  # what the small ones leave goes to the large one
+    assert languages._even_share([1, 2, 900], 40) == 37 and languages._even_share([5, 5, 5], 2) == 1 and languages._even_share([3, 4], 90) == 4
+
+
 def test_token_files(docs, none):
     import public_tokenizers
     from tokenizers import Tokenizer
