@@ -212,6 +212,33 @@ def test_licenses(spark, none):
     assert licenses.license_scan(none).collect() == []
 
 
+def test_license_notices():
+    def found(text):
+        return list(dict.fromkeys(licenses.recognised(licenses.Sentences(licenses.SENTENCES | licenses._TEXTS).scan(text))))
+    wrapped = "# foo is free software; you can redistribute it and/or\n# modify it under the terms of the GNU {}\n# as published by the Free Software Foundation; "
+    later = wrapped + "either\n# version {} of the License, or (at your option) any later version."
+    bsd = ("Copyright (c) 2020, Foo Inc. All rights reserved.\n\nRedistribution and use in source and binary forms, with or without modification, are permitted "
+           "provided that the following conditions are met:\n 1. Redistributions of source code must retain the above copyright notice, this list of conditions "
+           "and the following disclaimer.\n 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+           "disclaimer in the documentation and/or other materials provided with the distribution.\n 3. Neither the name of Foo Inc. nor the names of its\n"
+           "contributors may be used to endorse or promote products derived from this software without specific prior written permission.")
+    for text, expected in (
+            ("This project is licensed under the MIT License - see LICENSE for details.", ["MIT"]), ("Distributed under the MIT License.", ["MIT"]),
+            ("Released under the terms of the\nGNU GPL v2 or later", ["GPL-2.0-or-later"]), ("Licensed under GPLv3+", ["GPL-3.0-or-later"]),
+            ("This file is licensed under the GNU Lesser General Public License, version 2.1.", ["LGPL-2.1"]),
+            ("SPDX-License-Identifier: AGPL-3.0-only", ["AGPL-3.0-only"]), ("// SPDX-License-Identifier: MIT OR Apache-2.0", ["MIT", "Apache-2.0"]),
+            ("SPDX-License-Identifier: CC0-1.0", ["CC0-1.0"]), ("SPDX-License-Identifier: ISC", ["ISC"]), ("SPDX-License-Identifier: Zlib", ["Zlib"]),
+            ("SPDX-License-Identifier: EPL-2.0", ["EPL-2.0"]), ("SPDX-License-Identifier: BSD-2-Clause", ["BSD-2-Clause"]), ("Licensed under MPL 1.1", ["MPL-1.1"]),
+            ("Licensed under either of Apache License, Version 2.0 or MIT license", ["Apache-2.0", "MIT"]),
+            ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", ["CC-BY-SA-4.0"]),
+            ("This is free and unencumbered software released into the public domain.", ["Unlicense"]),
+            (later.format("General Public License", 2), ["GPL-2.0-or-later"]), (later.format("Affero General Public License", 3), ["AGPL-3.0-or-later"]),
+            (wrapped.format("General Public License") + "version 2 of the License.", ["GPL-2.0-only"]), (bsd, ["BSD-3-Clause"]),
+            ("Copyright 2020 Foo, all rights reserved", ["LicenseRef-All-Rights-Reserved"]), ("This is not licensed under the MIT License", []),
+            ("We met at MIT and released the birds under an oak", []), ("The driver's license is valid", []), ("under the licence", [])):
+        assert found(text) == expected, text
+
+
 def test_warc(spark, none, tmp_path):
     ship(spark)
     pages = [(1, "http://a/1", "<p>x</p>"), (2, None, "<p>x</p>"), (3, "http://a/3", None), (4, "u\r\nv", ""), (5, "e", "é" * 70_000),
