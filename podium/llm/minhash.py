@@ -79,9 +79,20 @@ def band_keys(minima: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def scrambled(values: np.ndarray) -> np.ndarray:
+    """Scrambles 32-bit integers, one to one."""
+    values = (values ^ (values >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    values = (values ^ (values >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return values ^ (values >> np.uint32(16))
+
+
 def low_bits(minima: np.ndarray) -> np.ndarray:
-    """The low bits of all minima as bit planes, ``BITS * PLANE`` 64-bit words per set."""
-    planes = []
+    """The low bits of all scrambled minima as bit planes, ``BITS * PLANE`` 64-bit words per set.
+
+    The low bits of a * x + b depend on those of x alone: unscrambled, two values that agree there would
+    do so under every permutation, and chance collisions of small sets would not be independent.
+    """
+    minima, planes = scrambled(minima), []
     for bit in range(BITS):
         bits = np.zeros((len(minima), PLANE * 64), np.uint8)
         bits[:, :MINIMA] = (minima >> np.uint32(bit)) & np.uint32(1)

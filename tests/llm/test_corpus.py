@@ -125,6 +125,24 @@ def test_chain_of_near_copies(spark):
     assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()} == root
 
 
+def test_estimate_keeps_short_near_copies(spark):
+    """Four shared shingles of five: similarity 0.8, texts of seven and eight words."""
+    rng, lost, n = np.random.default_rng(12), 0, 20_000
+    factors, shifts = minhash._permutations()
+    for _ in range(10):
+        values = rng.integers(0, 1 << 32, (n // 10, 5), np.uint32)
+        few = np.full((n // 10, minhash.MINIMA), 0xFFFFFFFF, np.uint32)
+        for k in range(4):
+            few = np.minimum(few, values[:, k, None] * factors + shifts)
+        all_five = np.minimum(few, values[:, 4, None] * factors + shifts)
+        a, b = minhash.low_bits(few), minhash.low_bits(all_five)
+        planes = (a ^ b).reshape(len(a), minhash.BITS, minhash.PLANE)
+        differ = np.bitwise_count(np.bitwise_or.reduce(planes, axis=1).view(np.uint64)).sum(axis=1)
+        chance = 2.0 ** -minhash.BITS
+        lost += int((((minhash.MINIMA - differ) / minhash.MINIMA - chance) / (1 - chance) < minhash.estimate_cut(0.8)).sum())
+    assert lost == 0
+
+
 def test_estimate_is_corrected(spark):
     rng = np.random.default_rng(1)
     minima = rng.integers(0, 1 << 32, (2, minhash.MINIMA), np.uint32)
