@@ -41,11 +41,13 @@ def _coder(path: str) -> Callable[[str | None], bytes]:
     word, and know no capitals. So the library encodes each distinct word, and each distinct run of
     closing signs, once per Python worker, and texts are put together from what is remembered. A full
     memory becomes the older one, from which words still in use come back; that bounds it at little cost.
+    A text that holds an added token, such as the end mark, is encoded whole and as it is: the library
+    cuts those out of the original before its other rules.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    added = [token.content.encode().lower() for token in tokenizer.get_added_tokens_decoder().values()]
 
     class Words(dict):
         older: dict = {}
@@ -68,7 +70,16 @@ def _coder(path: str) -> Callable[[str | None], bytes]:
             return found
 
     words = Words()
-    return lambda text: b"".join(map(words.__getitem__, text.encode().lower().split())) if text else b""
+
+    def ids_of(text: str | None) -> bytes:
+        if not text:
+            return b""
+        lowered = text.encode().lower()
+        if any(token in lowered for token in added):
+            return np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(map(words.__getitem__, lowered.split()))
+
+    return ids_of
 
 
 def forget_words() -> None:

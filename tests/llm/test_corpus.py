@@ -423,6 +423,19 @@ def test_token_files(docs, none):
     assert tokens.write_and_read(none, path).collect() == []
 
 
+def test_token_files_of_texts_with_added_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["one <|endoftext|> two", "a<|startoftext|>B<|endoftext|>", "One <|ENDOFTEXT|> two", "<|endof text|> One, TWO!", "ÉÀ <|endoftext|>İx", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in tokens.write_and_read(rows, path).collect()}
+    for i, text in enumerate(texts):
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+        assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def test_huffman_round_trip():
     rng = np.random.default_rng(5)
     for n, kinds in ((1, 1), (700, 1), (5000, 3), (40_000, 3000)):
