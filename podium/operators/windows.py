@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from podium.functions.scalars import _col
+from podium.session import scratch_dir
 
 Order = Sequence[str | Column]
 
@@ -58,3 +59,29 @@ def mode_per_group(df: DataFrame, keys: Sequence[str], value: str, out: str) ->
               .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("occurrences")))
     return (top1(counts, keys, [F.col("occurrences").desc(), F.col(value).asc()])
             .select(*keys, F.col(value).alias(out), "occurrences"))
+
+
+def global_rank(df: DataFrame, order: Order, out: str = "rank") -> DataFrame:
+    """Numbers all rows 1..n in the given order, without a task that sees them all.
+
+    Rows are dealt by range and sorted within their range; each range is written once with the
+    place of every row in it, and the sizes of the ranges, one row each, give where it starts. Rows
+    equal in the order are numbered one after another in no stated order, and may be dealt to
+    several tasks. Name further columns in ``order`` where their order matters. Nulls go where the
+    order puts them. The result is a stored table, so a number never changes between reads.
+    """
+    spark = df.sparkSession
+    keys = [_col(o) for o in order]
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())  # equal rows need not share a range
+    placed = (tied.repartitionByRange(*keys, F.col("_tie")).sortWithinPartitions(*keys, F.col("_tie"))
+              .withColumn("_tie", F.monotonically_increasing_id()))
+    path = scratch_dir(spark, "ranked")
+    placed.write.parquet(path)
+    kept = spark.read.schema(placed.schema).parquet(path)
+    kept = kept.withColumn("_range", F.shiftright("_tie", 33))  # the number of the task; the rest counts its rows
+    sizes = kept.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    inside = F.col("_tie") - F.shiftleft(F.col("_range"), 33)
+    return (kept.join(starts, "_range").withColumn(out, F.col("_before") + inside + 1)
+            .drop("_range", "_tie", "_before"))
