@@ -65,9 +65,25 @@ def op10_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from podium.llm.repair import repair_report
+    return repair_report(_table(spark, sf_dir, "conversations"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from podium.llm.quality import quality
+    return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from podium.llm.prefixes import prefix_trie, rebuilt
+    return prefix_trie(*rebuilt(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_line_dedup, op2_license_scan, op3_minhash, op4_warc, op5_subspace_join,
-                            op6_decontamination, op7_language, op8_token_ids, op9_virtual_slots, op10_water_filling)
+                            op6_decontamination, op7_language, op8_token_ids, op9_virtual_slots, op10_water_filling,
+                            op11_conversation_repair, op12_quality, op13_prefix_trie)
 }
 
 # Components by a recursive walk over links; both queries below end in it.
@@ -78,7 +94,82 @@ reached AS (SELECT a AS node, a AS seen FROM both_ways UNION
 roots AS (SELECT node, min(seen) AS root FROM reached GROUP BY node)
 """
 
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 in SQL, bit by bit: a byte is above 255 to tell it from the eight steps that follow it."""
+    steps = ("flatten(list_transform(range(strlen({0})), lambda i: list_concat([256 + ord_byte(i)], [0, 0, 0, 0, 0, 0, 0, 0])))"
+             .replace("ord_byte(i)", "CAST('0x' || hex(encode({0}))[2 * i + 1:2 * i + 2] AS BIGINT)").format(text))
+    return (f"xor(4294967295, list_reduce(list_concat([4294967295], {steps}), lambda c, b: CASE WHEN b > 0 THEN xor(c, b - 256) "
+            "WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))")
+
+
+_EMPTY = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+
 ORACLE: dict[str, str] = {
+    "op11_conversation_repair": f"""
+WITH RECURSIVE arcs(state, initial, letter, target, cost, role) AS (VALUES
+  (0, 's', 'K', 1, 0, NULL), (0, 'u', 'K', 2, 0, NULL), (1, 'u', 'K', 2, 0, NULL), (2, 'a', 'K', 3, 0, NULL), (3, 'u', 'K', 2, 0, NULL),
+  (0, NULL, 'R', 2, 3, 'user'), (1, NULL, 'R', 2, 3, 'user'), (2, NULL, 'R', 3, 3, 'assistant'), (3, NULL, 'R', 2, 3, 'user'),
+  (0, NULL, 'D', 0, 4, NULL), (1, NULL, 'D', 1, 4, NULL), (2, NULL, 'D', 2, 4, NULL), (3, NULL, 'D', 3, 4, NULL)),
+inserts(state, n, target, roles) AS (VALUES (0, 0, 0, []), (1, 0, 1, []), (2, 0, 2, []), (3, 0, 3, []), (0, 1, 2, ['user']), (1, 1, 2, ['user']),
+  (2, 1, 3, ['assistant']), (3, 1, 2, ['user']), (0, 2, 3, ['user', 'assistant']), (1, 2, 3, ['user', 'assistant'])),
+drawn AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS k FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM drawn WHERE k <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM damaged),
+faults AS (SELECT *, CASE WHEN rtrim(text, e' \t\n\x0b\f\r') = '' THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN right(rtrim(text, e' \t\n\x0b\f\r'), 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'fine' END AS fault,
+    lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair FROM placed),
+walk(conv_id, i, state, cost, audit, turns) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 0, 0, '', CAST([] AS VARCHAR[]) FROM faults
+  UNION ALL
+  SELECT conv_id, i, state, best.cost, best.audit, best.turns FROM (
+    SELECT w.conv_id, f.i, a.target AS state, min({{'cost': w.cost + 3 * n.n + a.cost
+          + CASE WHEN a.letter <> 'D' AND f.fault = 'truncated' THEN 3 ELSE 0 END,
+        'audit': w.audit || repeat('I', n.n) || a.letter,
+        'turns': list_concat(w.turns, list_transform(n.roles, lambda r: r || ':'),
+          CASE WHEN a.letter = 'D' THEN [] ELSE [coalesce(a.role, f.role) || ':' || f.text] END)}}) AS best
+    FROM walk w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+    JOIN inserts n ON n.state = w.state
+    JOIN arcs a ON a.state = n.target AND (a.letter = 'D' OR f.fault IN ('fine', 'truncated'))
+      AND (a.initial IS NULL OR a.initial = f.role[1])
+    GROUP BY w.conv_id, f.i, a.target)),
+ended AS (SELECT w.conv_id, min({{'cost': w.cost + 3 * n.n, 'audit': w.audit || repeat('I', n.n),
+    'turns': list_concat(w.turns, list_transform(n.roles, lambda r: r || ':'))}}) AS best
+  FROM walk w JOIN (SELECT conv_id, max(i) AS i FROM faults GROUP BY conv_id) m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.i = w.i
+  JOIN inserts n ON n.state = w.state AND n.target IN (0, 3) GROUP BY w.conv_id),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.turns, e'\n'), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counts k ON k.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id""",
+    "op13_prefix_trie": f"""
+WITH turns AS (SELECT conv_id, list(sha256(sha256(coalesce(text, '')) || coalesce(role, '')) || ':' || strlen(coalesce(text, ''))
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS own FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+lent AS (SELECT *, conv_id - conv_id % 5 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM turns),
+rebuilt AS (SELECT l.conv_id, list_concat(coalesce(b.own, [])[1:l.h], l.own[l.h + 1:]) AS turns
+  FROM lent l LEFT JOIN turns b ON b.conv_id = l.base),
+members AS (SELECT conv_id, d AS depth, turns[1:d] AS prefix, d = len(turns) AS ends
+  FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT prefix, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256,
+    CASE WHEN any_value(depth) = 0 THEN 0 ELSE CAST(split_part(prefix[-1], ':', 2) AS BIGINT) END AS bytes FROM members GROUP BY prefix),
+children AS (SELECT prefix[1:-2] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+sums AS (SELECT up AS prefix, sum((n_convs - 1) * bytes) AS saved, count(*) FILTER (WHERE childless) AS leaves
+  FROM (SELECT n.*, c.n_children IS NULL AS childless, unnest(list_transform(range(depth + 1), lambda d: n.prefix[1:d])) AS up
+        FROM nodes n LEFT JOIN children c ON c.prefix = n.prefix) GROUP BY up)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children,
+  s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.prefix = n.prefix LEFT JOIN children c ON c.prefix = n.prefix
+LEFT JOIN nodes p ON n.depth > 0 AND p.prefix = n.prefix[1:-2]""",
     "op3_minhash": f"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
