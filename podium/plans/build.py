@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,17 +42,17 @@ def build(raw_matches: DataFrame, raw_training: DataFrame, raw_students: DataFra
 
 
 def refresh_digest(score: DataFrame, target: str, now: Column | None = None) -> DataFrame:
-    """Bring the stored digest up to ``score``: new weeks, late rows, corrections and the changes after them."""
-    changes = _changed(marts.weekly_digest(score), target, "week_start")
-    upsert_partitions(calculated(changes, now), target, ["digest_id"], "week_start")
+    """Bring the stored digest up to ``score``: new weeks, late rows, corrections, the changes after them, and removals."""
+    changes = _changed(marts.weekly_digest(score), target, "digest_id", "week_start", now)
+    upsert_partitions(changes, target, ["digest_id"], "week_start", deleted="_deleted")
     return table(score.sparkSession, target)
 
 
 def refresh_report(matches: DataFrame, training: DataFrame, score: DataFrame, target: str,
                    now: Column | None = None) -> DataFrame:
-    """Bring the stored report up to its inputs, whichever months new or corrected rows fall into."""
-    changes = _changed(marts.monthly_report(matches, training, score), target, "report_month")
-    upsert_partitions(calculated(changes, now), target, ["report_id"], "report_month")
+    """Bring the stored report up to its inputs, whichever months new, corrected or removed rows fall into."""
+    changes = _changed(marts.monthly_report(matches, training, score), target, "report_id", "report_month", now)
+    upsert_partitions(changes, target, ["report_id"], "report_month", deleted="_deleted")
     return table(score.sparkSession, target)
 
 
@@ -63,14 +61,23 @@ def calculated(df: DataFrame, now: Column | None = None) -> DataFrame:
     return df.withColumn("calculated_at", F.current_timestamp() if now is None else now)
 
 
-def _changed(fresh: DataFrame, target: str, partition: str) -> DataFrame:
-    """Rows of ``fresh`` that ``target`` does not hold as they are.
+def _changed(fresh: DataFrame, target: str, key: str, partition: str, now: Column | None) -> DataFrame:
+    """Rows of ``fresh`` that ``target`` does not hold as they are, and, as ``_deleted``, keys it holds in vain.
 
-    The ids are made of the partition's value, whose type a folder does not keep; it is not compared.
+    Both sides are brought together on the key, with a hash of what each row says. The key is made of the
+    partition's value, whose type a folder does not keep; it is not hashed. This compares whole tables, as a build of
+    everything does; ``podium.plans.refresh`` carries single changes.
     """
-    if not table_exists(fresh.sparkSession, target):
-        return fresh
-    compared = [c for c in fresh.columns if c != partition]
-    stored = table(fresh.sparkSession, target).select(*[F.col(c).alias(f"_{c}") for c in compared])
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in compared])
-    return fresh.join(stored, same, "left_anti")
+    spark = fresh.sparkSession
+    rows = calculated(fresh, now).withColumn("_deleted", F.lit(False))
+    if not table_exists(spark, target):
+        return rows
+    said = [c for c in fresh.columns if c != partition]
+    state = F.xxhash64(F.to_json(F.struct(*said)))  # by name, as a hash of the columns would pass over nulls
+    held = table(spark, target).select(F.col(key).alias("_key"), F.col(partition).alias("_partition"), state.alias("_held"))
+    both = rows.withColumn("_state", state).join(held, F.col(key) == F.col("_key"), "full")
+    changed = F.col("_key").isNull() | F.col(key).isNull() | (F.col("_state") != F.col("_held"))
+    kind = fresh.schema[partition].dataType
+    return both.filter(changed).withColumns({
+        "_deleted": F.col(key).isNull(), partition: F.coalesce(partition, F.col("_partition").cast(kind)),
+        key: F.coalesce(key, "_key")}).drop("_key", "_partition", "_held", "_state")

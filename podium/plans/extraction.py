@@ -9,20 +9,24 @@ from __future__ import annotations
 import json
 import re
 import sys
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from podium.operators.conform import conform
 from podium.operators.joins import new_only
 from podium.operators.summaries import group_pages
+from podium.operators.windows import dedupe
 from podium.schemas import EXTRACTION_FAILURES, NOTE_EXTRACTIONS, PAYLOAD, RAW_MATCHES, RAW_TRAINING, declare
-from podium.sources.sinks import insert_new
+from podium.session import scratch_dir
+from podium.sources.readers import table, table_exists
+from podium.sources.sinks import append, insert_new, materialize
 
 # The functions run on workers that may not have this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -31,6 +35,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PageReader = Callable[[dict], str]
 
 _SESSION = ("session_id", "player_name", "session_date", "session_time", "session_type")
+_UNIT = ["session_id", "part", "share", "asked"]
 _ANSWER = declare("STRING raw_text error", "INT attempts")
 _FENCE_LINE = re.compile(r"^\s*```.*\n?", re.MULTILINE)
 
@@ -45,23 +50,38 @@ def pending_sessions(files: DataFrame, matches: DataFrame, training: DataFrame,
     return group_pages(todo, _SESSION, "page_number", "_source_file", chunk)
 
 
+def pending_pages(files: DataFrame, matches: DataFrame, training: DataFrame) -> DataFrame:
+    """The same queue with a page as the unit of work, whatever the length of its session.
+
+    A row has the columns of :func:`pending_sessions`: ``part`` is the page's number and ``share`` tells copies of
+    a page under other paths apart; the same path counts once. The answers of a session's pages are merged field by
+    field in the map tasks, so no task holds a session.
+    """
+    done = matches.select(F.col("match_id").alias("session_id")).union(training.select("session_id"))
+    pages = new_only(files, done, ["session_id"], busy_keys=True).select(
+        *_SESSION, F.col("page_number").cast("bigint").alias("part"), F.xxhash64("_source_file").alias("share"),
+        F.array("_source_file").alias("file_paths"), F.lit(1).cast("bigint").alias("page_count"))
+    return pages.distinct()
+
+
 def processed_sessions(matches: DataFrame, training: DataFrame) -> DataFrame:
     """Distinct ids of the sessions extracted so far."""
     return (matches.select(F.col("match_id").alias("session_id"))
             .union(training.select("session_id")).distinct())
 
 
-def extract(sessions: DataFrame, read_pages: PageReader, retries: int = 3) -> DataFrame:
+def extract(sessions: DataFrame, read_pages: PageReader, retries: int = 3, pause: float = 0.1) -> DataFrame:
     """Run ``read_pages`` per session; ``retries`` further attempts, then the error as data.
 
-    An answer that is not JSON counts as a failed attempt. Calls are spread over the partitions of
-    ``sessions``; a lost task repeats its own calls only, and the ids of the results do not change.
+    An answer that is not JSON counts as a failed attempt. Between attempts the task waits ``pause`` seconds,
+    twice as long each time. Calls are spread over the partitions of ``sessions``; a lost task repeats its
+    own calls only, and the ids of the results do not change.
     """
     schema = T.StructType(sessions.schema.fields + _ANSWER.fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            answers = [_attempt(read_pages, row, retries) for row in _records(batch)]
+            answers = [_attempt(read_pages, row, retries, pause) for row in _records(batch)]
             yield pd.concat(
                 [batch.reset_index(drop=True), pd.DataFrame(answers, columns=["raw_text", "error", "attempts"])],
                 axis=1)
@@ -73,8 +93,10 @@ def _records(batch: pd.DataFrame) -> list[dict]:
     return [{**row, "file_paths": list(row["file_paths"])} for row in batch.to_dict("records")]
 
 
-def _attempt(read_pages: PageReader, session: dict, retries: int) -> tuple[str | None, str | None, int]:
+def _attempt(read_pages: PageReader, session: dict, retries: int, pause: float) -> tuple[str | None, str | None, int]:
     for attempt in range(1, retries + 2):
+        if attempt > 1:
+            time.sleep(pause * 2 ** (attempt - 2))
         try:
             text = unfenced(read_pages(session))
             json.loads(text)
@@ -179,24 +201,37 @@ def note_rows(sessions: DataFrame, now: Column) -> DataFrame:
     }), NOTE_EXTRACTIONS)
 
 
-def run_extraction(sessions: DataFrame, read_pages: PageReader, staging: str, match_table: str,
+def run_extraction(sessions: DataFrame, read_pages: PageReader, answers: str, match_table: str,
                    training_table: str, failure_table: str, note_table: str, version: str = "v1.0",
                    retries: int = 3, calls_in_parallel: int | None = None,
-                   now: Column | None = None) -> None:
-    """Extract, keep the answers in ``staging``, then insert matches, sessions, notes and failures.
-
-    The answers are written once before they are routed: the calls are slow and paid for, and must
-    not be repeated for each of the four outputs or for a lost executor. Rows already in a target
-    stay there, and a failure is kept once per session and time. The calls are dealt to as many
-    tasks as a shuffle has, unless ``calls_in_parallel`` says otherwise; AQE merges neither, however
+                   now: Column | None = None, pause: float = 0.1) -> None:
+    """Extract, keep every answer in the store ``answers``, then insert matches, sessions, notes and failures.
+
+    The calls are slow and paid for. The store keeps them by unit (session, part, share, the pages asked
+    about) and version, and is only ever added to: a unit that has a good answer is not asked again, be it that another part
+    of its session failed, that the routing was lost, or that the queue is replayed; a failed one is. Rows
+    already in a target stay there, and a failure of a session is kept once per error and version. The calls are dealt to as
+    many tasks as a shuffle has, unless ``calls_in_parallel`` says otherwise; AQE merges neither, however
     few bytes a call takes in.
     """
+    spark = sessions.sparkSession
     now = F.current_timestamp() if now is None else now
-    tasks = calls_in_parallel or int(sessions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    work = sessions.repartition(tasks, "session_id", "part", "share")
-    extract(work, read_pages, retries).write.mode("overwrite").parquet(staging)
-    routed = split_results(sessions.sparkSession.read.parquet(staging), version, now)
+    tasks = calls_in_parallel or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asked = F.sha2(F.to_json(F.struct("file_paths")), 256)
+    work = materialize(sessions.withColumn("asked", asked), scratch_dir(spark, "queue"))
+    todo = work
+    if table_exists(spark, answers):
+        todo = new_only(work, _of_version(spark, answers, version).filter("error IS NULL"), _UNIT)
+    told = extract(todo.repartition(tasks, *_UNIT), read_pages, retries, pause)
+    append(told.withColumns({"version": F.lit(version), "answered_at": now}), answers)
+    held = dedupe(_of_version(spark, answers, version), _UNIT,
+                  [F.col("error").isNotNull(), F.col("answered_at").desc(), F.col("raw_text")])
+    routed = split_results(held.join(work.select(*_UNIT), _UNIT, "left_semi"), version, now)
     insert_new(routed.matches, match_table, ["match_id"], ["match_date"])
     insert_new(routed.training, training_table, ["session_id"], ["session_date"])
     insert_new(routed.notes, note_table, ["event_id", "event_type"], ["event_date"])
-    insert_new(routed.failures, failure_table, ["failure_id", "failed_at"], ["error_message"])
+    insert_new(routed.failures, failure_table, ["failure_id", "error_message", "pipeline_version"], ["failed_at"])
+
+
+def _of_version(spark: SparkSession, answers: str, version: str) -> DataFrame:
+    return table(spark, answers).filter(F.col("version") == version)

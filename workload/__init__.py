@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 _MODULES = ("models", "expressions", "joins", "changes", "summaries", "loads", "extraction",
-            "review", "quality", "history")
+            "review", "quality", "history", "refresh")
 
 
 def load():

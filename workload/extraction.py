@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import sys
 
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 
 from podium.plans import audit as auditing
 from podium.plans import extraction
-from podium.schemas import FINDINGS
+from podium.schemas import FINDINGS, RAW_MATCHES, RAW_TRAINING
 from podium.session import scratch_dir
+from podium.sources import readers, sinks
 from podium.sources.readers import table
 from workload.registry import query
 from workload.sql import n, ratio, rnd, with_ctes
@@ -61,23 +63,23 @@ def processed_sessions(t: Tables) -> DataFrame:
 
 
 def read_text(session: dict) -> str:
-    """Stand-in for the page reader: counts what it was given, refuses long or empty input."""
+    """Stand-in for the page reader: counts what it was given, and fails on some texts, whatever their length."""
     pages = session["file_paths"]
     size = sum(len(p) for p in pages)
-    if size > 4000:
+    if hashlib.md5(min(pages).encode()).hexdigest()[0] == "0":
         raise ValueError(f"unreadable: {size} characters")
     kind = session["session_type"]
-    stats = ({"winners": size, "unforced_errors": len(pages), "score": "6-4", "player_won": size > 1000}
+    stats = ({"winners": size, "unforced_errors": len(pages), "score": "6-4", "player_won": size % 2 == 1}
              if kind == "match" else
              {"shots_in": len(pages) / 8, "shots_per_hour": size, "longest_rally": "unknown"})
     payload = {"session_type": kind, "pages_processed": len(pages), "stats": stats, "confidence": 0.75,
-               "coaching_notes": {"raw_note_text": min(pages), "sentiment": "improving"} if size > 500 else None}
+               "coaching_notes": {"raw_note_text": min(pages), "sentiment": "improving"} if size % 3 else None}
     return f"```json\n{json.dumps(payload)}\n```"
 
 
 _READ = f"""
     SELECT session_id, player_name, session_type, count(*) AS pages, {n('sum(length(text))')} AS size,
-           min(text) AS first_text
+           min(text) AS first_text, md5(min(text))[1] = '0' AS unreadable
     FROM ({_PENDING}) GROUP BY ALL"""
 
 
@@ -88,16 +90,16 @@ def _extracted(t: Tables) -> dict[str, DataFrame]:
     targets = {name: scratch_dir(t.spark, name) for name in ("matches", "training", "failures", "notes")}
     extraction.run_extraction(
         queue, read_text, scratch_dir(t.spark, "answers"), targets["matches"], targets["training"],
-        targets["failures"], targets["notes"], now=F.lit("2024-04-01").cast("timestamp"))
+        targets["failures"], targets["notes"], now=F.lit("2024-04-01").cast("timestamp"), pause=0.0)
     return {name: table(t.spark, target) for name, target in targets.items()}
 
 
 @query(f"""
     SELECT session_id AS match_id, player_name AS player_id, size AS winners, pages AS unforced_errors,
-           size > 1000 AS player_won, CASE WHEN size > 500 THEN first_text END AS raw_note_text,
+           size % 2 = 1 AS player_won, CASE WHEN size % 3 <> 0 THEN first_text END AS raw_note_text,
            pages AS pages_processed, 0.75e0 AS extraction_confidence, CAST(NULL AS BIGINT) AS aces,
            'v1.0' AS prompt_version, TIMESTAMP '2024-04-01' AS _ingested_at
-    FROM ({_READ}) WHERE session_type = 'match' AND size <= 4000""")
+    FROM ({_READ}) WHERE session_type = 'match' AND NOT unreadable""")
 def extracted_matches(t: Tables) -> DataFrame:
     return _extracted(t)["matches"].select(
         "match_id", "player_id", "winners", "unforced_errors", "player_won", "raw_note_text",
@@ -107,8 +109,8 @@ def extracted_matches(t: Tables) -> DataFrame:
 @query(f"""
     SELECT session_id, player_name AS player_id, DATE '2024-03-01' AS session_date, 'training' AS session_type,
            pages / 8 AS shots_in, size AS shots_per_hour, CAST(NULL AS BIGINT) AS longest_rally,
-           CASE WHEN size > 500 THEN first_text END AS raw_note_text, pages AS pages_processed
-    FROM ({_READ}) WHERE session_type = 'training' AND size <= 4000""")
+           CASE WHEN size % 3 <> 0 THEN first_text END AS raw_note_text, pages AS pages_processed
+    FROM ({_READ}) WHERE session_type = 'training' AND NOT unreadable""")
 def extracted_training(t: Tables) -> DataFrame:
     return _extracted(t)["training"].select(
         "session_id", "player_id", "session_date", "session_type", "shots_in", "shots_per_hour",
@@ -119,7 +121,7 @@ def extracted_training(t: Tables) -> DataFrame:
     SELECT 'fail_' || session_id AS failure_id, session_id AS source_file, 'extraction_failed' AS error_reason,
            'ValueError: unreadable: ' || size || ' characters' AS error_message, 3 AS retry_count,
            'v1.0' AS pipeline_version, TIMESTAMP '2024-04-01' AS failed_at
-    FROM ({_READ}) WHERE size > 4000""")
+    FROM ({_READ}) WHERE unreadable""")
 def extraction_failures(t: Tables) -> DataFrame:
     """Dead letters: four attempts each, the error kept as data."""
     return _extracted(t)["failures"]
@@ -127,11 +129,83 @@ def extraction_failures(t: Tables) -> DataFrame:
 
 @query(f"""
     SELECT session_id AS event_id, session_type AS event_type, player_name AS player_id, 'improving' AS sentiment
-    FROM ({_READ}) WHERE size <= 4000 AND size > 500""")
+    FROM ({_READ}) WHERE NOT unreadable AND size % 3 <> 0""")
 def extracted_notes(t: Tables) -> DataFrame:
     return _extracted(t)["notes"].select("event_id", "event_type", "player_id", "sentiment")
 
 
+# A supplier's shipped line items are the pages of a session: hundreds for one supplier, few for another.
+_PAGE_ROWS = """
+    SELECT concat('s', l_suppkey) AS session_id, concat('p', l_suppkey) AS player_name, DATE '2024-03-01' AS session_date,
+           '1400' AS session_time, CASE WHEN l_suppkey % 2 = 0 THEN 'match' ELSE 'training' END AS session_type,
+           CAST(dense_rank() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_quantity, l_returnflag) AS INTEGER) AS page_number,
+           concat(l_orderkey, '-', l_linenumber, '-', CAST(l_quantity AS BIGINT), '-', l_returnflag) AS _source_file
+    FROM {lines} WHERE l_suppkey % 3 = 0 OR l_shipdate < TIMESTAMP '1994-02-01'"""
+
+
+def read_page(session: dict) -> str:
+    """Stand-in for the reader of one page: returned items show their quantity, the others only that they were read."""
+    (page,) = session["file_paths"]
+    order, line, quantity, flag = page.split("-")
+    if flag == "N" and int(order) % 997 == 0:
+        raise ValueError(f"unreadable: {page}")
+    known = {"winners": int(quantity), "shots_per_hour": int(quantity)} if flag == "R" else {}
+    return json.dumps({"session_type": session["session_type"], "pages_processed": 1, "stats": known,
+                       "confidence": int(quantity) / 64})
+
+
+def _read_by_pages(t: Tables, runs: int) -> tuple[dict[str, DataFrame], str]:
+    """``runs`` runs over one store of answers; the first has a reader that loses every seventh order."""
+    pages = sinks.materialize(t.spark.sql(_PAGE_ROWS, lines=t.lineitem), scratch_dir(t.spark, "pages"))
+    store = scratch_dir(t.spark, "answers")
+    targets = {name: scratch_dir(t.spark, name) for name in ("matches", "training", "failures", "notes")}
+
+    def first_reader(session: dict) -> str:
+        if int(session["file_paths"][0].split("-")[0]) % 7 == 0:
+            raise TimeoutError("no answer")
+        return read_page(session)
+
+    for run in range(runs):
+        done = [readers.table_or_empty(t.spark, targets[name], schema)
+                for name, schema in (("matches", RAW_MATCHES), ("training", RAW_TRAINING))]
+        queue = extraction.pending_pages(pages, *done)
+        extraction.run_extraction(
+            queue, first_reader if run < runs - 1 else read_page, store, targets["matches"], targets["training"],
+            targets["failures"], targets["notes"], retries=0, now=F.lit(f"2024-04-0{run + 1}").cast("timestamp"))
+    return {name: table(t.spark, targets[name]) for name in ("matches", "training")}, store
+
+
+_PAGES_READ = f"""
+    SELECT *, l_returnflag = 'N' AND l_orderkey % 997 = 0 AS bad
+    FROM (SELECT DISTINCT *, CAST(split_part(_source_file, '-', 1) AS BIGINT) AS l_orderkey, split_part(_source_file, '-', 4) AS l_returnflag,
+                 CAST(split_part(_source_file, '-', 3) AS BIGINT) AS quantity
+          FROM ({_PAGE_ROWS.format(lines='lineitem')}))"""
+
+
+@query(f"""
+    SELECT session_id, player_name AS player_id, session_type,
+           min_by(quantity, page_number) FILTER (l_returnflag = 'R') AS first_quantity,
+           count(*) AS pages_processed, min(quantity) / 64 AS extraction_confidence
+    FROM ({_PAGES_READ}) GROUP BY ALL HAVING NOT bool_or(bad)""")
+def extracted_by_page(t: Tables) -> DataFrame:
+    """Sessions of a few to hundreds of pages, read page by page in two runs and merged."""
+    found, _ = _read_by_pages(t, 2)
+    same = ("player_id", "session_type", "pages_processed", "extraction_confidence")
+    return (found["matches"].select(F.col("match_id").alias("session_id"), F.lit("match").alias("session_type"), "player_id",
+                                    F.col("winners").alias("first_quantity"), "pages_processed", "extraction_confidence")
+            .unionByName(found["training"].select("session_id", F.col("shots_per_hour").alias("first_quantity"), *same)))
+
+
+@query(f"""
+    SELECT session_id, count(*) AS units, count(*) + count(*) FILTER (l_orderkey % 7 = 0 OR bad) AS calls
+    FROM ({_PAGES_READ}) GROUP BY ALL""")
+def calls_of_a_rerun(t: Tables) -> DataFrame:
+    """Calls made in two runs: the second asks for the pages only that had no answer."""
+    _, store = _read_by_pages(t, 2)
+    return table(t.spark, store).groupBy("session_id").agg(
+        F.count_distinct("part", "share").alias("units"), F.count(F.lit(1)).alias("calls"))
+
+
 def _figure(x: str) -> str:
     return f"CASE WHEN {x} <> 0 THEN CAST({x} AS VARCHAR) ELSE 'N/A' END"
 
