@@ -22,12 +22,15 @@ def parse_session_files(df: DataFrame, path: str = "path") -> DataFrame:
     """
     last = F.substring_index(_col(path), "/", -1)
     stem = F.substr(last, F.lit(1), F.length(last) - len(FILE_SUFFIX))
-    named = df.withColumn("filename", F.when(F.endswith(last, F.lit(FILE_SUFFIX)), stem).otherwise(""))
-    cut = named.withColumns({
-        "_parts": F.split("filename", "_"),
-        "_digits": F.length("filename") - F.length(F.ltrim("filename", F.lit(_DIGITS)))})
+    name = F.when(F.endswith(last, F.lit(FILE_SUFFIX)), stem).otherwise("")
+    # Each step is one element that is taken out of an array again: projections above do not write its
+    # expressions out a second time, which would make the generated code too large to compile.
+    named = df.withColumn("filename", F.explode(F.array(name)))
+    cut = named.withColumn("_cut", F.explode(F.array(F.struct(
+        F.split("filename", "_").alias("parts"),
+        (F.length("filename") - F.length(F.ltrim("filename", F.lit(_DIGITS)))).alias("digits")))))
 
-    parts, digits = F.col("_parts"), F.col("_digits")
+    parts, digits = F.col("_cut.parts"), F.col("_cut.digits")
 
     def or_empty(condition: Column, value: Column) -> Column:
         return F.when(condition, value).otherwise("")
@@ -36,19 +39,19 @@ def parse_session_files(df: DataFrame, path: str = "path") -> DataFrame:
         return or_empty(digits >= end, F.substring("filename", start + 1, end - start))
 
     stamped = (digits == STAMP_DIGITS) & (F.length(parts[0]) == STAMP_DIGITS)
-    cut = cut.withColumn("_player", F.coalesce(or_empty(stamped, F.get(parts, F.lit(1))), F.lit("")))
+    cut = cut.withColumn("_player", F.explode(F.array(F.coalesce(or_empty(stamped, F.get(parts, F.lit(1))), F.lit("")))))
     player, said, page = F.col("_player"), F.get(parts, F.lit(2)), F.element_at(parts, -1)
     kinds = [F.when((player != "") & F.startswith(said, F.lit(kind)), kind) for kind in SESSION_TYPES]
     paged = ((F.size(parts) > 2) & F.get(parts, F.size(parts) - 2).isin(*SESSION_TYPES)
              & (F.ltrim(page, F.lit(_DIGITS)) == ""))
-    cut = cut.withColumn("session_type", F.coalesce(*kinds, F.lit("")))
+    cut = cut.withColumn("session_type", F.explode(F.array(F.coalesce(*kinds, F.lit("")))))
     return cut.withColumns({
         "session_date": F.try_to_date(slice_of(0, DATE_DIGITS), "yyyyMMdd"),
         "session_time": slice_of(DATE_DIGITS, STAMP_DIGITS),
         "player_name": or_empty(F.size(parts) > 2, player),
         "page_number": F.when(paged, page).try_cast("int"),
         "session_id": F.concat_ws("_", slice_of(0, STAMP_DIGITS), player, "session_type"),
-    }).drop("_parts", "_digits", "_player")
+    }).drop("_cut", "_player")
 
 
 def valid_session_file(df: DataFrame) -> DataFrame:

@@ -133,7 +133,8 @@ def _rewrite(going: DataFrame, match: Sequence[str], live: DataFrame, target: st
     values = list(dict.fromkeys([*left, *entered]))
     emptied = [v for v in left if v not in entered]
     if emptied:  # dynamic mode only swaps folders that get rows
-        emptied = [v for v in emptied if v not in partitions_of(kept(emptied), partition)]
+        holding = partitions_of(kept(emptied), partition)
+        emptied = [v for v in emptied if v not in holding]
     _save(kept(values).unionByName(live), target, "overwrite", "dynamic", [partition])
     _drop_partitions(spark, target, partition, emptied)
 
