@@ -36,10 +36,21 @@ def _usable(vector: Column) -> Column:
     return vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
+def _scaled(vector: Column) -> Column:
+    """The vector times a power of two that brings its largest component near 1.
+
+    No bit of an ordinary component changes, so neither does a cosine, but squares neither overflow nor vanish.
+    """
+    largest = F.array_max(F.transform(vector, F.abs))
+    power = F.greatest(F.lit(-1000.0), F.least(F.lit(1000.0), -F.floor(F.log2(largest)).cast("double")))
+    return F.transform(vector, lambda x: x * F.pow(F.lit(2.0), power))
+
+
 def classes(vectors: DataFrame) -> DataFrame:
-    """Distinct usable vectors of a label: ``key``, ``label``, ``unit`` and ``copies``."""
+    """Distinct usable vectors of a label: ``key``, ``label``, ``vector`` (scaled) and ``copies``."""
     rows = vectors.withColumn("vector", F.col("embedding").cast("array<double>"))
     rows = rows.filter(F.col("label").isNotNull() & _usable(F.col("vector")))
+    rows = rows.withColumn("vector", _scaled(F.col("vector")))
     return (rows.withColumn("key", _key()).groupBy("key")
             .agg(F.first("label").alias("label"), F.first("vector").alias("vector"), F.count("*").alias("copies")))
 
