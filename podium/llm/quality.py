@@ -109,14 +109,13 @@ def training_rows(documents: DataFrame, labels: DataFrame, label: str = "quality
             .groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("other"))
             .filter("label = other").select("doc_id", "label"))
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    known = stored(texts.join(told, "doc_id").select("text", "label", F.sha2("text", 256).alias("content")), "labelled")
-    distinct = known.groupBy("label", "content").agg(F.lit(1).alias("one"))
-    sizes = distinct.groupBy("label").agg(F.count("one").alias("rows"))
+    known = texts.join(told, "doc_id").withColumn("content", F.sha2("text", 256))
+    # Copies of a text meet in the map tasks; one of them is shuffled.
+    distinct = stored(known.groupBy("label", "content").agg(F.first("text").alias("text")), "labelled")
+    sizes = distinct.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
     # The first 15 digits of the hash are evenly spread below 16^15.
     place = F.conv(F.substring("content", 1, 15), 16, 10).cast("double") / float(16 ** 15)
-    drawn = (distinct.join(sizes, "label").filter(place * F.col("rows") < float(sample))
-             .select("label", "content"))
-    return (known.join(drawn, ["label", "content"]).groupBy("label", "content").agg(F.first("text").alias("text"))
+    return (distinct.join(sizes, "label").filter(place * F.col("rows") < float(sample))
             .select("text", "label", F.col("content").alias("place")))
 
 
