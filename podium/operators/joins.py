@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from podium.operators.windows import top1
@@ -135,8 +135,8 @@ def version_at(facts: DataFrame, dim: DataFrame, key: str, day: str, sk: str = "
                valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
     """Surrogate key of the version in force at the start of ``day``, null when there is none.
 
-    Versions are looked up once per distinct (key, day): a key contributes at most one row per
-    calendar day to the ordered pass, whatever its number of facts or versions.
+    A key's versions travel as one ordered list, at most one a calendar day, and the facts pass once: each
+    takes its key's list by a lookup, which AQE splits for busy keys, and the last version that has begun.
     """
     starts = F.to_date(valid_from)
     effective = F.when(F.col(valid_from) == starts.cast("timestamp"), starts).otherwise(F.date_add(starts, 1))
@@ -144,14 +144,13 @@ def version_at(facts: DataFrame, dim: DataFrame, key: str, day: str, sk: str = "
         dim.select(F.col(key).alias("_key"), effective.alias("_day"), valid_from,
                    F.struct(F.col(sk).alias("sk"), F.col(valid_to).alias("ends")).alias("_version")),
         ["_key", "_day"], [F.col(valid_from).desc(), F.col("_version.sk").asc()]).drop(valid_from)
-    days = facts.select(F.col(key).alias("_key"), F.col(day).alias("_day")).distinct()
-    onwards = (Window.partitionBy("_key").orderBy("_day", "_side")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    found = (versions.withColumn("_side", F.lit(0))
-             .unionByName(days.withColumn("_side", F.lit(1)), allowMissingColumns=True)
-             .withColumn("_at", F.last("_version", ignorenulls=True).over(onwards))
-             .filter(F.col("_side") == 1))
-    open_ended = F.col("_at.ends").isNull() | (F.col("_at.ends") > F.col("_day").cast("timestamp"))
-    keyed = found.select(
-        F.col("_key").alias(key), F.col("_day").alias(day), F.when(open_ended, F.col("_at.sk")).alias(sk))
-    return facts.join(keyed, [key, day], "left")
+    history = versions.groupBy(F.col("_key").alias(key)).agg(
+        F.sort_array(F.collect_list(F.struct("_day", "_version"))).alias("_history"))
+
+    def begun(version: Column) -> Column:
+        since_ever = version["_day"].isNull() & F.col(day).isNotNull()
+        return since_ever | (version["_day"] <= F.col(day))
+
+    at = lookup(facts, history, [key]).withColumn("_at", F.try_element_at(F.filter("_history", begun), F.lit(-1))["_version"])
+    open_ended = F.col("_at.ends").isNull() | (F.col("_at.ends") > F.col(day).cast("timestamp"))
+    return at.withColumn(sk, F.when(open_ended, F.col("_at.sk"))).drop("_history", "_at")

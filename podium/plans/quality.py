@@ -74,17 +74,25 @@ def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
 
 
 def run_checks(df: DataFrame, name: str, checks: Sequence[Check], as_of: Column | None = None) -> DataFrame:
-    """All rules of one table: the row rules in a single pass, each ``unique`` as one grouping."""
-    rows = [c for c in checks if c.kind != "unique"]
-    parts = []
-    if rows:
-        totals = df.agg(*[count_where(violation(c, as_of)).alias(f"c{i}") for i, c in enumerate(rows)])
-        parts.append(_as_report(totals, [(c.kind, name, c.column, f"c{i}") for i, c in enumerate(rows)]))
-    for check in checks:
-        if check.kind == "unique":
-            total = duplicate_keys(df, check.column).agg(F.count(F.lit(1)).alias("c0"))
-            parts.append(_as_report(total, [(check.kind, name, check.column, "c0")]))
-    return reduce(DataFrame.unionByName, parts)
+    """All rules of one table in one pass over it.
+
+    A row gives an entry (rule, value) for every ``unique`` rule it has a value for, and (rule, null) for every
+    other rule it breaks. Entries are counted once by rule and value, in the map tasks first, and what is
+    counted more than once breaks a ``unique`` rule.
+    """
+    def entry(rule: int, value: Column, holds: Column) -> Column:
+        return F.when(holds, F.struct(F.lit(rule).alias("rule"), value.alias("value")))
+
+    nothing = F.lit(None).cast("string")
+    entries = [entry(i, F.col(c.column).cast("string"), F.col(c.column).isNotNull()) if c.kind == "unique"
+               else entry(i, nothing, violation(c, as_of)) for i, c in enumerate(checks)]
+    told = df.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+    counted = told.groupBy("rule", "value").agg(F.count(F.lit(1)).alias("rows"))
+    totals = counted.agg(*[
+        (count_where((F.col("rule") == i) & (F.col("rows") > 1)) if c.kind == "unique"
+         else F.coalesce(F.sum(F.when(F.col("rule") == i, F.col("rows"))), F.lit(0))).alias(f"c{i}")
+        for i, c in enumerate(checks)])
+    return _as_report(totals, [(c.kind, name, c.column, f"c{i}") for i, c in enumerate(checks)])
 
 
 def run_suite(tables: Mapping[str, DataFrame], suite: Mapping[str, Sequence[Check]],

@@ -13,7 +13,7 @@ from podium.functions.predicates import below_confidence, maybe_eq
 from podium.functions.scalars import confidence_band, map_values, percent_label, rank_of, typed_null
 from podium.operators.joins import not_reviewed
 from podium.operators.summaries import recent_win_rate
-from podium.operators.windows import latest
+from podium.operators.windows import global_rank, latest
 from podium.plans.audit import SEVERITIES
 
 _COUNTS = ("winners", "unforced_errors", "first_serves_in", "first_serves_total",
@@ -55,6 +55,16 @@ def order_by_rank(df: DataFrame, col: str, ranks: tuple[str, ...], *then: Column
     return df.orderBy(rank_of(col, ranks), *then)
 
 
+def ranked_by(df: DataFrame, col: str, ranks: tuple[str, ...], *then: Column, out: str = "position") -> DataFrame:
+    """The order of :func:`order_by_rank` as a column, for readers that page through a stored table."""
+    return global_rank(df, [rank_of(col, ranks), *then], out)
+
+
+def ranked_queue(queue: DataFrame, out: str = "position") -> DataFrame:
+    """Place of every extraction in the review queue: least confident first, unknown confidence before all."""
+    return global_rank(queue, [F.col("extraction_confidence").asc_nulls_first(), F.col("session_id").asc_nulls_first()], out)
+
+
 def finding_kpis(findings: DataFrame) -> DataFrame:
     return findings.agg(
         F.count(F.lit(1)).alias("total_findings"),

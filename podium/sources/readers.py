@@ -47,11 +47,22 @@ def stream_table(spark: SparkSession, folder: str, schema: T.StructType, glob: s
     return reader.parquet(folder)
 
 
-def stream_kafka(spark: SparkSession, servers: str, topic: str, schema: T.StructType) -> DataFrame:
-    """JSON events of a topic, with their offset and partition. Needs the Kafka connector jar."""
-    raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-           .option("subscribe", topic).option("startingOffsets", "earliest").load())
-    return decode_events(raw, schema)
+def stream_kafka(spark: SparkSession, servers: str, topic: str, schema: T.StructType,
+                 fail_on_data_loss: bool = True, offsets_per_batch: int | None = None) -> DataFrame:
+    """JSON events of a topic, with their offset and partition. Needs the Kafka connector jar.
+
+    ``fail_on_data_loss`` says what happens to offsets that the topic no longer holds: the query fails, or goes on
+    behind them. The raw records for :func:`decode_or_reject` are those of :func:`kafka_records`.
+    """
+    return decode_events(kafka_records(spark, servers, topic, fail_on_data_loss, offsets_per_batch), schema)
+
+
+def kafka_records(spark: SparkSession, servers: str, topic: str, fail_on_data_loss: bool = True,
+                  offsets_per_batch: int | None = None) -> DataFrame:
+    reader = spark.readStream.format("kafka").options(**{
+        "kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest",
+        "failOnDataLoss": str(fail_on_data_loss).lower()})
+    return (reader.option("maxOffsetsPerTrigger", offsets_per_batch) if offsets_per_batch else reader).load()
 
 
 def decode_events(raw: DataFrame, schema: T.StructType) -> DataFrame:
@@ -61,6 +72,24 @@ def decode_events(raw: DataFrame, schema: T.StructType) -> DataFrame:
             .select("_event.*", "kafka_offset", "kafka_partition"))
 
 
+def decode_or_reject(raw: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Decoded events as in :func:`decode_events`, and the records that hold none: (value, reason, offset, partition).
+
+    A record without a value, with text that is no JSON object, or with a field of another type than declared is
+    rejected whole, as it came. Works on a batch and, in ``foreachBatch``, on a stream.
+    """
+    text = F.col("value").cast("string")
+    channel = T.StructType([*schema.fields, T.StructField("_unread", T.StringType())])
+    parsed = raw.select(
+        text.alias("value"), F.col("offset").alias("kafka_offset"), F.col("partition").alias("kafka_partition"),
+        F.from_json(text, channel, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unread"}).alias("_event"))
+    reason = (F.when(F.col("value").isNull(), "no value")
+              .when(F.col("_event").isNull() | F.col("_event._unread").isNotNull(), "not readable"))
+    told = parsed.withColumn("reason", reason)
+    good = told.filter(F.col("reason").isNull()).select("_event.*", "kafka_offset", "kafka_partition").drop("_unread")
+    return good, told.filter(F.col("reason").isNotNull()).select("value", "reason", "kafka_offset", "kafka_partition")
+
+
 def table(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
     """A table by catalog name, or a Parquet folder by path, whose schema may be given."""
     return read_parquet(spark, target, schema) if is_path(target) else spark.table(target)

@@ -181,3 +181,48 @@ def stream_session_files(t: Tables) -> DataFrame:
     intake.run_available_now(
         rows, intake.insert_batches(target, ["_record_hash", "file_size_bytes"], ["_source_file"]), checkpoint)
     return readers.table(t.spark, target).drop("_ingested_at")
+
+
+# Every seventh event is cut short on the bus, and every eleventh arrives without a value.
+_ON_THE_BUS = """CASE WHEN event_id % 7 = 0 THEN left(props, length(props) - 1) WHEN event_id % 11 = 0 THEN NULL ELSE props END"""
+
+
+def _bus(t: Tables) -> DataFrame:
+    return t.events.select(F.expr(_ON_THE_BUS).cast("binary").alias("value"), F.col("event_id").alias("offset"),
+                           F.col("user_id").cast("int").alias("partition"))
+
+
+@query(f"""
+    SELECT value, CASE WHEN value IS NULL THEN 'no value' ELSE 'not readable' END AS reason, kafka_offset, kafka_partition
+    FROM (SELECT {_ON_THE_BUS} AS value, event_id AS kafka_offset, CAST(user_id AS INTEGER) AS kafka_partition FROM events)
+    WHERE value IS NULL OR NOT json_valid(value)""")
+def rejected_bus_events(t: Tables) -> DataFrame:
+    """Records that hold no event, as they came."""
+    return readers.decode_or_reject(_bus(t), declare("BIGINT k"))[1]
+
+
+@query("""
+    SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_id AS kafka_offset, CAST(user_id AS INTEGER) AS kafka_partition
+    FROM events WHERE event_id % 7 <> 0 AND event_id % 11 <> 0""")
+def accepted_bus_events(t: Tables) -> DataFrame:
+    """What is left of the same records."""
+    return readers.decode_or_reject(_bus(t), declare("BIGINT k"))[0]
+
+
+@query("SELECT c_nationkey, count(*) AS customers FROM customer WHERE c_acctbal > 0 GROUP BY 1")
+def catalog_scan(t: Tables) -> DataFrame:
+    """A table read by its name in the session's catalog."""
+    t.customer.createOrReplaceTempView("customers_by_name")
+    rows = readers.table(t.spark, "customers_by_name").filter("c_acctbal > 0")
+    return rows.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"))
+
+
+@query("SELECT 'P' || c_custkey AS alias, 'Player-' || c_custkey AS canonical_player_id, c_mktsegment AS alias_source FROM customer")
+def seed_file(t: Tables) -> DataFrame:
+    """The alias table kept as a CSV file with padded cells."""
+    folder = scratch_dir(t.spark, "seed-csv")
+    padded = [F.concat(F.lit("  P"), "c_custkey", F.lit(" ")).alias("alias"),
+              F.concat(F.lit(" Player-"), "c_custkey").alias("canonical_player_id"), F.col("c_mktsegment").alias("alias_source")]
+    (t.customer.select(*padded).write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(folder))
+    return readers.seed(t.spark, folder)

@@ -40,6 +40,16 @@ def review_queue(t: Tables) -> DataFrame:
     return review.review_queue(t.raw_matches, t.raw_training, _reviewed(t))
 
 
+@query(with_ctes(f"""
+    SELECT session_id, session_type, extraction_confidence,
+           row_number() OVER (ORDER BY extraction_confidence NULLS FIRST, session_id) AS position FROM ({_QUEUE})""",
+    "raw_match", "raw_training"))
+def ranked_review_queue(t: Tables) -> DataFrame:
+    """The queue's order as a column: ranges sorted by themselves, no task that holds all of it."""
+    queue = review.review_queue(t.raw_matches, t.raw_training, _reviewed(t))
+    return review.ranked_queue(queue.select("session_id", "session_type", "extraction_confidence"))
+
+
 @query(with_ctes(f"""
     SELECT (SELECT count(*) FROM ({_QUEUE}) WHERE session_type = 'match') AS pending_reviews,
            (SELECT count(*) FROM ({_REVIEWED})) AS eval_set_size""", "raw_match", "raw_training"))

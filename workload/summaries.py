@@ -105,6 +105,18 @@ def order_by_rank(t: Tables) -> DataFrame:
                                 F.col("o_orderdate").desc(), F.col("o_orderkey"))
 
 
+@query("""
+    SELECT o_orderkey, priority, day, row_number() OVER (ORDER BY
+             CASE priority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 ELSE 3 END, day DESC NULLS LAST, o_orderkey) AS position
+    FROM (SELECT o_orderkey, nullif(o_orderpriority, '3-MEDIUM') AS priority,
+                 CASE WHEN o_orderkey % 11 > 0 THEN CAST(o_orderdate AS DATE) END AS day FROM orders)""")
+def position_by_rank(t: Tables) -> DataFrame:
+    """The order itself is compared: unknown priorities rank with the rest, unknown days come last."""
+    rows = t.orders.select("o_orderkey", F.nullif("o_orderpriority", F.lit("3-MEDIUM")).alias("priority"),
+                           F.when(F.col("o_orderkey") % 11 > 0, F.to_date("o_orderdate")).alias("day"))
+    return review.ranked_by(rows, "priority", ("1-URGENT", "2-HIGH"), F.col("day").desc_nulls_last(), F.col("o_orderkey"))
+
+
 @query(with_ctes(f"""
     SELECT player_id, match_date, day_matches, day_wins,
            {n('sum(day_matches) OVER w')} AS matches_in_window, {n('sum(day_wins) OVER w')} AS wins_in_window,
