@@ -13,7 +13,6 @@ best language is ``und``, or whose posterior is under one half.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -58,8 +57,13 @@ def _sampled(rows: DataFrame, sample: int) -> DataFrame:
     sizes = {r["label"]: r["n"] for r in drawn.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return rows.select("label", "text")
+    share = _even_share(list(sizes.values()), sample)
+    # Draws are even over all long integers: what lies under this part of them holds the share, and little more.
+    part = {label: min(1.0, (share + 6 * share ** 0.5 + 10) / n) for label, n in sizes.items()}
+    low = F.create_map(*[F.lit(x) for label, p in part.items() for x in (label, p * 2.0 ** 64 - 2.0 ** 63)])
     each = F.row_number().over(Window.partitionBy("label").orderBy("draw"))
-    cuts = (drawn.withColumn("place", each).filter(F.col("place") <= _even_share(list(sizes.values()), sample))
+    cuts = (drawn.filter(F.col("draw").cast("double") <= F.element_at(low, F.col("label")))
+            .withColumn("place", each).filter(F.col("place") <= share)
             .groupBy("label").agg(F.max("draw").alias("cut")).collect())
     cut = F.map_from_arrays(F.lit([r["label"] for r in cuts]), F.lit([r["cut"] for r in cuts]).cast("array<bigint>"))
     return rows.filter(F.col("draw") <= F.element_at(cut, F.col("label"))).select("label", "text").dropDuplicates()
@@ -129,44 +133,69 @@ def fused(rows: DataFrame, languages: list[str], table: np.ndarray) -> DataFrame
     Null evidence says nothing: a row without declaration or host goes by the rest. Hosts, suffixes and
     declarations are joined as aggregated tables; the rows with their texts are not grouped.
     """
-    known = range(len(languages))
+    n_languages = len(languages)
     scored = rows.withColumn("suffix", suffix_of(F.col("host"))).withColumn("scores", _text_scores(languages, table)("text"))
     voted = scored.withColumn("vote", F.when(F.col("scores").isNotNull(), F.array_position("scores", F.array_max("scores")).cast("int") - 1))
     votes = stored(voted.filter("vote IS NOT NULL").groupBy("host", "suffix", "declared", "vote").agg(F.count("*").alias("n")), "votes")
 
-    def counts(keys: list[str], prefix: str) -> DataFrame:
-        sums = [F.sum(F.when(F.col("vote") == i, F.col("n")).otherwise(0)).alias(f"{prefix}{i}") for i in known]
-        return votes.filter(F.col(keys[-1]).isNotNull() if keys else F.lit(True)).groupBy(*keys).agg(*sums)
-
-    overall = counts([], "all").first()
-    overall = [float(overall[f"all{i}"] or 0) for i in known]
-    by_host = counts(["suffix", "host"], "h").join(counts(["suffix"], "s"), "suffix").drop("suffix")
-    by_declared = counts(["declared"], "d")
-    kinds = max(1, by_declared.count())
-    voted = voted.join(by_host, "host", "left").join(by_declared, "declared", "left")
-
-    def count_of(prefix: str, i: int) -> Column:
-        own = (F.col("vote") == i).cast("double")
-        return F.greatest(F.coalesce(F.col(f"{prefix}{i}"), F.lit(0)) - F.coalesce(own, F.lit(0.0)), F.lit(0.0))
-
-    def mix(prefix: str, i: int, parent: Column) -> Column:
-        total = reduce(lambda x, y: x + y, [count_of(prefix, j) for j in known])
-        return (count_of(prefix, i) + SMOOTHING * parent) / (total + SMOOTHING)
-
-    scores = []
-    for i, name in enumerate(languages):
-        base = UND_PRIOR if name == UND else (1 - UND_PRIOR) / max(1, len(languages) - 1)
-        corpus = F.lit((overall[i] + SMOOTHING * base) / (sum(overall) + SMOOTHING))
-        prior = F.log(mix("h", i, mix("s", i, corpus)))
-        said = F.when(F.col("declared").isNotNull(), F.log(
-            (count_of("d", i) + 1.0 / kinds) / (F.greatest(F.lit(overall[i]) - (F.col("vote") == i).cast("double"), F.lit(0.0)) + 1.0)))
-        scores.append(F.col("scores")[i] + prior + F.coalesce(said, F.lit(0.0)))
-    voted = voted.withColumn("posterior", F.array(*scores))
-    top = F.array_max("posterior")
-    mass = F.aggregate("posterior", F.lit(0.0), lambda total, x: total + F.exp(x - F.array_max("posterior")))
-    return (voted.withColumn("language", F.when(F.col("scores").isNull(), F.lit(UND)).otherwise(
-                F.element_at(F.array(*map(F.lit, languages)), F.array_position("posterior", top).cast("int"))))
-            .withColumn("confidence", F.when(F.col("scores").isNull(), F.lit(0.0)).otherwise(1 / mass)))
+    def counts(key: str, name: str) -> DataFrame:
+        """Votes for every language, in their order, per value of ``key``: one short array each."""
+        by_vote = votes.filter(F.col(key).isNotNull()).groupBy(key, "vote").agg(F.sum("n").cast("double").alias("n"))
+        found = by_vote.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("vote", "n"))).alias("found"))
+        places = F.sequence(F.lit(0), F.lit(n_languages - 1))
+        return found.select(key, F.transform(places, lambda i: F.coalesce(F.try_element_at("found", i), F.lit(0.0))).alias(name))
+
+    overall = np.zeros(n_languages)
+    for r in votes.groupBy("vote").agg(F.sum("n").alias("n")).collect():  # a row per language
+        overall[r["vote"]] = r["n"]
+    suffixes = counts("suffix", "by_suffix")
+    hosts = counts("host", "by_host").withColumn("suffix", suffix_of(F.col("host"))).join(suffixes, "suffix").drop("suffix")
+    declarations = counts("declared", "by_declared")
+    judge = F.arrow_udf(_judge(languages, overall, max(1, declarations.count())), "struct<best int, confidence double>")
+    joined = voted.join(hosts, "host", "left").join(declarations, "declared", "left")
+    judged = joined.withColumn("judged", judge("scores", "vote", "by_host", "by_suffix", "by_declared", F.col("declared").isNotNull()))
+    named = F.element_at(F.array(*map(F.lit, languages)), F.col("judged.best") + 1)
+    return (judged.withColumn("language", F.when(F.col("judged.best").isNull(), F.lit(UND)).otherwise(named))
+            .withColumn("confidence", F.coalesce("judged.confidence", F.lit(0.0))))
+
+
+def posteriors(scores: np.ndarray, vote: np.ndarray, by_host: np.ndarray, by_suffix: np.ndarray, by_declared: np.ndarray,
+               said: np.ndarray, overall: np.ndarray, base: np.ndarray, kinds: int) -> np.ndarray:
+    """Log posteriors, up to a constant a row: text, then the smoothed mix of host, suffix and corpus, then what is declared.
+
+    A row a text, a column a language; ``vote`` marks a row's own vote, which its host, suffix and declaration do without.
+    """
+    def without_own(counts: np.ndarray) -> np.ndarray:
+        return np.maximum(counts - vote, 0.0)
+
+    def mix(counts: np.ndarray, parent: np.ndarray) -> np.ndarray:
+        left = without_own(counts)
+        return (left + SMOOTHING * parent) / (left.sum(axis=1, keepdims=True) + SMOOTHING)
+
+    corpus = (overall + SMOOTHING * base) / (overall.sum() + SMOOTHING)
+    declared = np.log((without_own(by_declared) + 1.0 / kinds) / (without_own(overall[None, :]) + 1.0))
+    return scores + np.log(mix(by_host, mix(by_suffix, corpus))) + declared * said[:, None]
+
+
+def _judge(languages: list[str], overall: np.ndarray, kinds: int):
+    width = len(languages)
+    base = np.array([UND_PRIOR if name == UND else (1 - UND_PRIOR) / max(1, width - 1) for name in languages])
+
+    def matrix(lists: pa.Array) -> np.ndarray:
+        out = np.zeros((len(lists), width))
+        out[~lists.is_null().to_numpy(zero_copy_only=False)] = lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+        return out
+
+    def judge(scores, vote, by_host, by_suffix, by_declared, said):
+        known = ~scores.is_null().to_numpy(zero_copy_only=False)
+        places = np.arange(width)[None, :] == vote.fill_null(-1).to_numpy(zero_copy_only=False)[:, None]
+        log = posteriors(matrix(scores), places.astype(float), matrix(by_host), matrix(by_suffix), matrix(by_declared),
+                         said.to_numpy(zero_copy_only=False).astype(float), overall, base, kinds)
+        best = log.argmax(axis=1)
+        mass = np.exp(log - log.max(axis=1, keepdims=True)).sum(axis=1)
+        return pa.StructArray.from_arrays([pa.array(best.astype(np.int32), mask=~known), pa.array(1 / mass, mask=~known)],
+                                          ["best", "confidence"])
+    return judge
 
 
 def _evidence(docs: DataFrame, declared: str | None, host: str | None, *carried: Column) -> DataFrame:

@@ -49,6 +49,13 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"), declared="lang", host="source")
 
 
+def pages_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same fusion on raw pages: the markup's language, and host and suffix of the address; languages of ``documents``."""
+    from podium.llm.languages import fitted, identify_pages
+    documents = _table(spark, sf_dir, "documents")
+    return identify_pages(_table(spark, sf_dir, "pages"), *fitted(documents.selectExpr("text", "lower(lang) AS label")))
+
+
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from podium.llm.tokens import write_and_read
@@ -83,7 +90,7 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_line_dedup, op2_license_scan, op3_minhash, op4_warc, op5_subspace_join,
                             op6_decontamination, op7_language, op8_token_ids, op9_virtual_slots, op10_water_filling,
-                            op11_conversation_repair, op12_quality, op13_prefix_trie)
+                            op11_conversation_repair, op12_quality, op13_prefix_trie, pages_language)
 }
 
 # Components by a recursive walk over links; both queries below end in it.
