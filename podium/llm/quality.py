@@ -108,14 +108,14 @@ def training_rows(documents: DataFrame, labels: DataFrame, label: str = "quality
     told = (labels.filter(F.col("doc_id").isNotNull() & ~held_out() & F.col(label).isin(0, 1))
             .groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("other"))
             .filter("label = other").select("doc_id", "label"))
-    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    known = texts.join(told, "doc_id").withColumn("content", F.sha2("text", 256))
-    # Copies of a text meet in the map tasks; one of them is shuffled.
-    distinct = stored(known.groupBy("label", "content").agg(F.first("text").alias("text")), "labelled")
-    sizes = distinct.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+    hashed = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("content", F.sha2("text", 256))
+    # Only hashes are joined with the labels and counted; of the texts, the drawn ones alone leave their task.
+    known = stored(hashed.select("doc_id", "content").join(told, "doc_id").select("label", "content").distinct(), "labelled")
+    sizes = known.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
     # The first 15 digits of the hash are evenly spread below 16^15.
     place = F.conv(F.substring("content", 1, 15), 16, 10).cast("double") / float(16 ** 15)
-    return (distinct.join(sizes, "label").filter(place * F.col("rows") < float(sample))
+    drawn = stored(known.join(sizes, "label").filter(place * F.col("rows") < float(sample)).select("label", "content"), "drawn")
+    return (hashed.select("content", "text").join(drawn, "content").groupBy("label", "content").agg(F.first("text").alias("text"))
             .select("text", "label", F.col("content").alias("place")))
 
 
