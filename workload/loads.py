@@ -11,7 +11,7 @@ from podium.plans import build
 from podium.schemas import BINARY_FILES, RAW_MATCHES, RAW_STUDENTS, RAW_TRAINING, declare
 from podium.session import scratch_dir
 from podium.sources import readers, sinks
-from podium.streaming import intake
+from podium.streaming import intake, late
 from workload.expressions import INTAKE_SQL, VALID_FILES, intake_answers, session_files_of
 from workload.models import Models
 from workload.registry import query
@@ -226,3 +226,38 @@ def seed_file(t: Tables) -> DataFrame:
     (t.customer.select(*padded).write.option("header", True).option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(folder))
     return readers.seed(t.spark, folder)
+
+
+# Three drops of events: the days before the 20th; the rest with every third event again; and, after a restart, every
+# tenth event of the rest, some of them more than five days behind what has been seen.
+_DROPS = ("ts < TIMESTAMP '2024-01-20'", "(ts >= TIMESTAMP '2024-01-20' AND event_id % 10 > 0) OR event_id % 3 = 0",
+          "ts >= TIMESTAMP '2024-01-20'")
+_SEEN = f"SELECT max(ts) - INTERVAL 5 DAY FROM events WHERE {_DROPS[0]} OR {_DROPS[1]}"
+_OVERDUE = f"NOT ({_DROPS[0]} OR {_DROPS[1]}) AND ts < ({_SEEN})"
+
+
+def _in_time(t: Tables) -> tuple[DataFrame, DataFrame]:
+    landing, checkpoint = scratch_dir(t.spark, "landing"), scratch_dir(t.spark, "checkpoint")
+    target, overdue = scratch_dir(t.spark, "in-time"), scratch_dir(t.spark, "overdue")
+    rows = t.events.select("event_id", "ts", "event_type")
+    for drops in (_DROPS[:2], _DROPS[2:]):
+        for drop in drops:
+            rows.filter(drop).coalesce(1).write.mode("append").parquet(landing)
+        stream = readers.stream_table(t.spark, landing, rows.schema, files_per_batch=1)
+        late.ingest_in_time(stream, target, overdue, checkpoint, ["event_id"], "ts", "5 days", ["ts"])
+    return late.stored_in_time(t.spark, target), readers.table(t.spark, overdue)
+
+
+@query(f"SELECT event_id, ts, event_type FROM events WHERE NOT ({_OVERDUE})")
+def stream_in_time(t: Tables) -> DataFrame:
+    """Repeated and late events over two runs of a stream: what came in time is stored once."""
+    return _in_time(t)[0]
+
+
+@query(f"""
+    SELECT event_id, ts, event_type FROM events
+    WHERE (ts >= TIMESTAMP '2024-01-20' AND ts < ({_SEEN}))
+       OR (event_id % 3 = 0 AND ts < (SELECT max(ts) - INTERVAL 5 DAY FROM events WHERE {_DROPS[0]}))""")
+def stream_overdue(t: Tables) -> DataFrame:
+    """What came too late, repeats of stored events among it, kept apart."""
+    return _in_time(t)[1]
