@@ -78,10 +78,9 @@ def plan(rows: DataFrame, epochs: int = EPOCHS) -> DataFrame:
             .join(goal.select("source_key", "missing"), "source_key"))
     # In a bin that ends before the cut all are taken, in one that starts past it none.
     edge = bins.filter((F.col("start") <= F.col("missing")) & (F.col("start") + F.col("words") >= F.col("missing")))
-    # ``edge`` is dealt by source already; a column made of source and bin keeps a large source from one task.
-    spread = F.xxhash64("source_key", "bin")
-    inside = (binned.withColumn("spread", spread)
-              .join(edge.select("source_key", "bin", "start", "missing").withColumn("spread", spread), ["source_key", "bin", "spread"])
+    # A bin a source at most: written, it is known to be the small side, and the documents stay where they are dealt.
+    edge = stored(edge.select("source_key", "bin", "start", "missing"), "edge")
+    inside = (binned.join(edge, ["source_key", "bin"])
               .groupBy("source_key", "bin", "place", "start", "missing").agg(F.sum("size").alias("words")))
     running = Window.partitionBy("source_key", "bin").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     taken = (F.col("start") + F.sum("words").over(running)) * 2 - F.col("words") <= F.col("missing") * 2
