@@ -4,9 +4,10 @@ Two unit vectors of cosine c lie at a squared distance of 2 - 2c. After a rotati
 energy, the vectors are split into blocks of eight dimensions: in at least one block the pair lies
 within that block's proportional part of the squared distance. Each block is range-joined on a grid
 over its first two dimensions, whose cell is the block's radius times two: one side stays in its own
-cell, the other is copied to the cells its square of that radius touches. The union of what the blocks
-find is verified exactly, in double precision, on the original vectors. Nothing is lost: a slack far
-above the rounding error covers the joins, the verification has none.
+cell, the other is copied to the cells its square of that radius touches. In a cell both sides are sorted into
+tiles by the third dimension, and tiles whose boxes over all eight are too far apart are not compared. The union of what the
+blocks find is verified exactly, in double precision, on the original vectors. Nothing is lost: a slack
+far above the rounding error covers the joins, the verification has none.
 """
 
 from __future__ import annotations
@@ -17,11 +18,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import stored
+from podium.llm.common import slices, stored
 from podium.llm.components import components
+from podium.operators.joins import lookup
 
 COSINE = 0.93
 BLOCK_DIMS = 8
+HELD = 100_000  # rows of a cell that a task holds
+TILE = 128
 _SLACK = 1e-9
 
 
@@ -94,33 +98,90 @@ def _blocks(found: DataFrame, dims: int, cosine: float, block_dims: int) -> tupl
     return rows, max((2 - 2 * cosine) * (b - a) / dims for a, b in zip(cuts, cuts[1:])) + _SLACK
 
 
-def _candidates(found: DataFrame, dims: int, cosine: float, block_dims: int) -> DataFrame:
+def _tiles(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by the third coordinate, and the boxes of every ``TILE`` points in that order."""
+    order = np.argsort(points[:, min(2, points.shape[1] - 1)], kind="stable")
+    ordered, starts = points[order], np.arange(0, len(points), TILE)
+    return order, np.minimum.reduceat(ordered, starts), np.maximum.reduceat(ordered, starts)
+
+
+def _within(home: np.ndarray, other: np.ndarray, budget: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs (home, other) whose squared distance may be within ``budget``; tiles too far apart are passed over."""
+    (at, low, high), (bt, blow, bhigh) = _tiles(home), _tiles(other)
+    gap = np.maximum(0.0, np.maximum(low[:, None] - bhigh[None], blow[None] - high[:, None]))
+    left, right = [], []
+    for i, j in zip(*np.nonzero((gap * gap).sum(axis=2) <= budget)):
+        x, y = at[i * TILE:(i + 1) * TILE], bt[j * TILE:(j + 1) * TILE]
+        a, b = home[x], other[y]
+        squares = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None] - 2.0 * (a @ b.T)
+        p, q = np.nonzero(squares <= budget)
+        left.append(x[p])
+        right.append(y[q])
+    none = np.empty(0, np.int64)
+    return (np.concatenate(left) if left else none), (np.concatenate(right) if right else none)
+
+
+def _range_join(n_coords: int, budget: float):
+    """Rows in order of (cell, part, side): those at home in a cell are held, the others pass by in batches."""
+    def run(batches):
+        import pyarrow as pa
+        here, keys, points, tree = None, [], [], None
+        for batch in slices(batches, 4096):
+            cells = np.array(batch.column("place").to_pylist(), object)
+            cuts = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
+            side = batch.column("side").to_numpy()
+            names = np.array(batch.column("key").to_pylist(), object)
+            coords = np.stack([batch.column(f"x{j}").to_numpy() for j in range(n_coords)], axis=1)
+            for start, end in zip(cuts, [*cuts[1:], len(cells)]):
+                if cells[start] != here:
+                    here, keys, points, tree = cells[start], [], [], None
+                first = start + int(np.searchsorted(side[start:end], 1))
+                if first > start:
+                    keys.append(names[start:first])
+                    points.append(coords[start:first])
+                if first < end and points:
+                    if tree is None:
+                        tree = (np.concatenate(keys), np.concatenate(points))
+                    p, q = _within(tree[1], coords[first:end], budget)
+                    a, b = tree[0][p], names[first:end][q]
+                    found = a < b
+                    if found.any():
+                        yield pa.record_batch({"a": pa.array(a[found], pa.string()), "b": pa.array(b[found], pa.string())})
+    return run
+
+
+def _candidates(found: DataFrame, dims: int, cosine: float, block_dims: int, held: int = HELD) -> DataFrame:
+    """Pairs of classes within the budget of a block, by a range join per block.
+
+    A cell's own rows are held in a task, ``held`` at most: a fuller cell is dealt to several parts, and what
+    passes by goes to each of them.
+    """
     rows, budget = _blocks(found, dims, cosine, block_dims)
     rows = stored(rows, "blocks")
     coords = [c for c in rows.columns if c[0] == "x" and c[1:].isdigit()]
     radius = math.sqrt(budget)
     grid = coords[:2]
 
+    def place(cells: list[Column]) -> Column:
+        return F.concat_ws("/", F.col("block").cast("string"), *[c.cast("string") for c in cells], "label").alias("cell")
+
     def cell(x: Column) -> Column:
         return F.floor(x / (2 * radius)).cast("int")
 
-    home = rows.select("label", "block", *[cell(F.col(x)).alias(f"c{i}") for i, x in enumerate(grid)],
-                       F.col("key").alias("a"), *[F.col(x).alias(f"a{x}") for x in coords])
-    spread = rows
-    for i, x in enumerate(grid):
-        touched = F.array_distinct(F.array(cell(F.col(x) - radius), cell(F.col(x) + radius)))
-        spread = spread.withColumn(f"c{i}", F.explode(touched))
-    spread = spread.select("label", "block", *[f"c{i}" for i in range(len(grid))],
-                           F.col("key").alias("b"), *[F.col(x).alias(f"b{x}") for x in coords])
-    keys = ["label", "block", *[f"c{i}" for i in range(len(grid))]]
-    on = (F.col("a") < F.col("b"))
-    for k in keys:
-        on = on & (home[k] == spread[k])
-    gaps = [(F.col(f"a{x}") - F.col(f"b{x}")) * (F.col(f"a{x}") - F.col(f"b{x}")) for x in coords]
-    distance = gaps[0]
-    for gap in gaps[1:]:
-        distance = distance + gap
-    return home.join(spread, on & (distance <= budget)).select("a", "b").distinct()
+    home = rows.select(place([cell(F.col(x)) for x in grid]), "key", *coords)
+    full = home.groupBy("cell").agg(F.ceil(F.count("*") / held).cast("int").alias("parts")).filter("parts > 1")
+    parts = F.coalesce("parts", F.lit(1))
+    home = lookup(home, full, ["cell"]).withColumn("part", F.pmod(F.xxhash64("key"), parts).cast("int"))
+    touched = [F.array_distinct(F.array(cell(F.col(x) - radius), cell(F.col(x) + radius))) for x in grid]
+    passing = rows
+    for i, cells in enumerate(touched):
+        passing = passing.withColumn(f"c{i}", F.explode(cells))
+    passing = passing.select(place([F.col(f"c{i}") for i in range(len(grid))]), "key", *coords)
+    passing = lookup(passing, full, ["cell"]).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    both = home.withColumn("side", F.lit(0)).unionByName(passing.withColumn("side", F.lit(1))).select(
+        F.concat_ws("/", F.col("part").cast("string"), "cell").alias("place"), "side", "key", *coords)
+    dealt = both.repartition("place").sortWithinPartitions("place", "side")
+    return dealt.mapInArrow(_range_join(len(coords), budget), "a string, b string").distinct()
 
 
 def _verified(pairs: DataFrame, found: DataFrame, cosine: float) -> DataFrame:

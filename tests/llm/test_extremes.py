@@ -44,3 +44,30 @@ def test_mix_of_one_source_is_not_dealt_by_source(spark):
 def test_mix_of_repeated_rows(spark, sources):
     rows = spark.createDataFrame([(7, "one two three", s) for s in sources], "doc_id bigint, text string, source string")
     assert {(r.source, r.taken) for r in mixing.mix(rows).collect()} <= {(s, n * 3) for s in sources for n in range(4)}
+
+
+def test_full_cells_are_dealt_to_parts(spark):
+    """A label of many near vectors in few cells: small parts and large ones find the pairs of a plain search."""
+    ship(spark)
+    rng = np.random.default_rng(12)
+    base = rng.standard_normal((5, 16))
+    rows = [(i, [float(x) for x in base[i % 5] + 0.1 * rng.standard_normal(16)], "x") for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string")
+    found = embeddings.classes(df)
+    some, many = ({tuple(r) for r in embeddings._candidates(found, 16, 0.97, 8, held=n).collect()} for n in (7, 100_000))
+    assert some == many
+    keys = {r.vec_id: r.key for r in df.withColumn("key", embeddings._key()).collect()}
+    unit = np.array([v for _, v, _ in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    close = np.argwhere(np.triu(unit @ unit.T >= 0.97, 1))
+    assert len(close) > 500
+    assert {tuple(sorted((keys[int(i)], keys[int(j)]))) for i, j in close} <= some
+
+
+def test_tiles_pass_over_nothing(spark):
+    rng = np.random.default_rng(2)
+    home, other = rng.standard_normal((700, 8)), rng.standard_normal((900, 8))
+    other[:50] = home[:50] + 0.05
+    p, q = embeddings._within(home, other, 0.6)
+    plain = np.argwhere(((home[:, None] - other[None]) ** 2).sum(axis=2) <= 0.6)
+    assert set(zip(p.tolist(), q.tolist())) == {tuple(x) for x in plain.tolist()}
