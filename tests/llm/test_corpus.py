@@ -79,7 +79,7 @@ def test_against_sql(spark, name):
 
 def test_registered():
     names = [n for n in entry.queries() if re.match(r"op\d+_|pipeline", n)]
-    assert sorted({n.split("_")[0] for n in names}) == sorted([*(f"op{i}" for i in range(1, 11)), "pipeline"])
+    assert sorted({n.split("_")[0] for n in names}) == sorted([*(f"op{i}" for i in range(1, 14)), "pipeline"])
 
 
 def test_components(spark):
