@@ -35,6 +35,7 @@ SCORE_DEFAULTS = {
     "matches_played": 0, "matches_won": 0, "avg_technique_score": 0.0,
     "sessions_completed": 0, "avg_shots_per_hour": 0.0,
 }
+# Columns of the dimension.
 _DIM_COLUMNS = (
     "preferred_name", "full_name", "chinese_name", "date_of_birth", "utr_rating", "age_group",
     "dominant_hand", "competition_level", "goals", "coach_id", "contact_email", "submitted_at",

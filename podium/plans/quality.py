@@ -116,7 +116,7 @@ def raise_if_failed(report: DataFrame) -> None:
             f"{r['check']} {r['table_name']}.{r['column_name']} ({r['violations']})" for r in broken))
 
 
-# The rules declared on the models.
+# The rules declared on the models.
 MODEL_CHECKS: dict[str, tuple[Check, ...]] = {
     "stg_alias": (unique("alias"), not_null("alias"), not_null("canonical_player_id")),
     "stg_match": (unique("match_id"), not_null("match_id"), not_null("player_id"), not_null("match_date"),

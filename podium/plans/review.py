@@ -16,6 +16,7 @@ from podium.operators.summaries import recent_win_rate
 from podium.operators.windows import global_rank, latest
 from podium.plans.audit import SEVERITIES
 
+# Figures and labels the review pages show.
 _COUNTS = ("winners", "unforced_errors", "first_serves_in", "first_serves_total",
            "break_points_won", "break_points_total")
 RESULT_LABELS = {True: "Win", False: "Loss"}

@@ -14,8 +14,9 @@ from podium.functions.text import parse_session_files, valid_session_file
 from podium.operators.conform import conform, enrich_intake, with_lineage
 from podium.plans.bronze import valid_students
 from podium.schemas import RAW_STUDENTS, SESSION_FILES
+from podium.session import scratch_dir
 from podium.sources.readers import stream_binary, stream_csv
-from podium.sources.sinks import insert_new
+from podium.sources.sinks import insert_new, materialize
 
 
 def run_available_now(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -27,10 +28,11 @@ def run_available_now(stream: DataFrame, batch: Callable[[DataFrame, int], None]
 
 def insert_batches(target: str, keys: Sequence[str], order: Sequence[str | Column],
                    partition_by: Sequence[str] = (), rejects: str | None = None) -> Callable[[DataFrame, int], None]:
-    """Batch function that inserts unseen keys and skips an empty batch."""
+    """Batch function that inserts unseen keys and skips an empty batch; the batch is worked out once."""
     def write(batch: DataFrame, _batch_id: int) -> None:
-        if not batch.isEmpty():
-            insert_new(batch, target, keys, order, partition_by, rejects)
+        staged = materialize(batch, scratch_dir(batch.sparkSession, "batch"))
+        if not staged.isEmpty():
+            insert_new(staged, target, keys, order, partition_by, rejects)
     return write
 
 
