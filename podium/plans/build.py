@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from podium.plans import intermediate, marts, staging
 from podium.sources.readers import table, table_exists
-from podium.sources.sinks import materialize, upsert_partitions
+from podium.sources.sinks import publish, upsert_partitions
 
 
 def build(raw_matches: DataFrame, raw_training: DataFrame, raw_students: DataFrame, alias_seed: DataFrame,
@@ -15,7 +15,8 @@ def build(raw_matches: DataFrame, raw_training: DataFrame, raw_students: DataFra
     """Write the gold tables below ``folder`` and return every model.
 
     Silver models stay views. Facts and scores are stored before the marts read them, so each is
-    computed once per build however many marts use it. Digest and report are compared with what is
+    computed once per build however many marts use it; each is published whole, so a dashboard that reads during
+    a build sees the rows before or after it. Digest and report are compared with what is
     stored, and only the partitions with new or changed rows are rewritten.
     """
     alias = staging.stg_alias(alias_seed)
@@ -29,12 +30,12 @@ def build(raw_matches: DataFrame, raw_training: DataFrame, raw_students: DataFra
     views["daily_rollup"] = intermediate.daily_rollup(views["stg_training"])
     views["link_to_match"] = intermediate.link_to_match(views["daily_rollup"], views["match_strength"])
 
-    dim = materialize(marts.dim_player(views["stg_student"]), f"{folder}/dim_player")
-    matches = materialize(marts.fct_match(views["match_strength"], dim), f"{folder}/fct_match",
-                          ["match_year_month"], ["player_id", "match_date"])
-    training = materialize(marts.fct_training(views["daily_rollup"], dim), f"{folder}/fct_training",
-                           ["session_year_month"], ["player_id", "session_date"])
-    score = materialize(calculated(marts.development_score(matches, training), now), f"{folder}/development_score")
+    dim = publish(marts.dim_player(views["stg_student"]), f"{folder}/dim_player")
+    matches = publish(marts.fct_match(views["match_strength"], dim), f"{folder}/fct_match",
+                      ["match_year_month"], ["player_id", "match_date"])
+    training = publish(marts.fct_training(views["daily_rollup"], dim), f"{folder}/fct_training",
+                       ["session_year_month"], ["player_id", "session_date"])
+    score = publish(calculated(marts.development_score(matches, training), now), f"{folder}/development_score")
     digest = refresh_digest(score, f"{folder}/weekly_digest", now)
     report = refresh_report(matches, training, score, f"{folder}/monthly_report", now)
     return {**views, "dim_player": dim, "fct_match": matches, "fct_training": training,

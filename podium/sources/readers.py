@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from podium.schemas import ALIAS_SEED, BINARY_FILES
+from podium.sources import versions
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -91,15 +92,18 @@ def decode_or_reject(raw: DataFrame, schema: T.StructType) -> tuple[DataFrame, D
 
 
 def table(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
-    """A table by catalog name, or a Parquet folder by path, whose schema may be given."""
-    return read_parquet(spark, target, schema) if is_path(target) else spark.table(target)
+    """A table by catalog name, or a Parquet folder by path, whose schema may be given.
+
+    Of a folder with published versions it is the last one, also if others are published before it is read.
+    """
+    return read_parquet(spark, versions.current(spark, target), schema) if is_path(target) else spark.table(target)
 
 
 def table_exists(spark: SparkSession, target: str) -> bool:
     if not is_path(target):
         return spark.catalog.tableExists(target)
     try:
-        spark.read.parquet(target)
+        spark.read.parquet(versions.current(spark, target))
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return False

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from podium.operators.changes import keyless, unseen
 from podium.operators.joins import new_only
 from podium.session import scratch_dir
-from podium.sources import key_index
+from podium.sources import key_index, versions
 from podium.sources.key_index import in_partitions, partitions_of
 from podium.sources.readers import is_path, table, table_exists
 
@@ -36,6 +36,28 @@ def materialize(df: DataFrame, target: str, partition_by: Sequence[str] = (),
     return table(df.sparkSession, target, df.schema)
 
 
+def publish(df: DataFrame, target: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
+            keep: int = 2) -> DataFrame:
+    """Replace the whole table in one step and return the new version.
+
+    The rows, which may be read from ``target`` itself, go to a folder of their own, and the table changes when that is
+    whole (see ``versions``). A reader sees the old rows or the new ones, and goes on reading what it began with;
+    the last ``keep`` versions stay. A write that fails leaves the table as it was; if another writer published
+    meanwhile, this one fails. ``target`` is a folder; a plain one becomes a published one, its old files unread.
+    """
+    spark = df.sparkSession
+    if not is_path(target):
+        raise ValueError(f"{target}: only folders have versions")
+    if keep < 1:
+        raise ValueError("the current version has to be kept")
+    last = max(versions.numbers(spark, target), default=0)
+    version = versions.draft(target)
+    rows = materialize(df, version, partition_by, cluster_by)
+    versions.record(spark, target, version, last)
+    versions.retire(spark, target, keep)
+    return rows
+
+
 def insert_new(df: DataFrame, target: str, keys: Sequence[str], order: Sequence,
                partition_by: Sequence[str] = (), rejects: str | None = None, indexed: bool = False) -> None:
     """Idempotent insert: a key is written once, however often its batch is replayed.
@@ -148,7 +170,7 @@ def _drop_partitions(spark: SparkSession, target: str, partition: str, values: S
             spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION (`{partition}` = {told})")
         return
     gone = {_NULL_FOLDER if v is None else v for v in values}
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(versions.current(spark, target))
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for entry in files.listStatus(folder):
         name, _, value = entry.getPath().getName().partition("=")
@@ -170,7 +192,9 @@ def _save(df: DataFrame, target: str, mode: str, partitions: str, partition_by:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if is_path(target):
-        writer.option("partitionOverwriteMode", partitions).parquet(target)
+        whole = mode == "overwrite" and partitions == "static"
+        place = target if whole else versions.current(df.sparkSession, target)
+        writer.option("partitionOverwriteMode", partitions).parquet(place)
     elif partitions == "dynamic":
         _insert_partitions(df, target)
     else:  # an option here would become one of the table's own

@@ -125,6 +125,24 @@ def append_new_column(t: Tables) -> DataFrame:
     return readers.read_parquet(t.spark, target, merge_schema=True)
 
 
+@query("""
+    SELECT 'before' AS seen, o_orderstatus, count(*) AS orders, CAST(sum(o_custkey) AS BIGINT) AS customers FROM orders GROUP BY 1, 2
+    UNION ALL
+    SELECT 'after', 'F', count(*), CAST(sum(o_custkey) AS BIGINT) FROM orders WHERE o_orderstatus <> 'P'""")
+def read_while_replaced(t: Tables) -> DataFrame:
+    """A table is replaced twice by rows made of its own; who opened it before the last time still reads all its old rows."""
+    target = scratch_dir(t.spark, "orders")
+    sinks.publish(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus"), target, ["o_orderstatus"])
+    early = readers.table(t.spark, target)
+    sinks.publish(readers.table(t.spark, target).filter("o_orderstatus <> 'P'"), target)
+    late_rows = sinks.publish(readers.table(t.spark, target).withColumn("o_orderstatus", F.lit("F")), target, keep=3)
+
+    def told(seen: str, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(F.lit(seen).alias("seen"), F.col("o_orderstatus").cast("string").alias("o_orderstatus")).agg(
+            F.count(F.lit(1)).alias("orders"), F.sum("o_custkey").alias("customers"))
+    return told("before", early).unionByName(told("after", late_rows))
+
+
 @query("SELECT CAST(count(*) AS BIGINT) AS matches, CAST(0 AS BIGINT) AS training FROM orders")
 def table_or_empty(t: Tables) -> DataFrame:
     """A table that is not there yet reads as an empty one."""
