@@ -331,12 +331,18 @@ def _against(docs: DataFrame, index, threshold: float, overlap: float, schema: s
     return docs.mapInArrow(work, schema)
 
 
-def uncontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+def uncontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP,
+                   part_words: int = PART_WORDS) -> DataFrame:
     """The rows of ``docs``, all their columns, into which no item leaks.
 
-    Rows pass one filter per part of the index, whole and in place: no id is needed and nothing is joined.
+    Rows pass one filter per part of the index, whole and in place: no id is needed and nothing is joined. What passed
+    a part is stored before the next, so a worker holds one part at a time and leaking rows are read no further; up
+    to ``PART_WORDS`` words of items there is one part and nothing is stored. Null and empty texts and rows without
+    id stay, repeated rows stay or go together; no items leave all rows, an empty table none.
     """
-    for part in index_parts(items):
+    for number, part in enumerate(index_parts(items, part_words)):
+        if number:
+            docs = stored(docs, "clean-so-far")
         index = docs.sparkSession.sparkContext.broadcast(part)
         clean = F.arrow_udf(_clean(index, threshold, overlap), "boolean")
         docs = docs.filter(clean(F.col("text")))

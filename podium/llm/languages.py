@@ -227,7 +227,11 @@ def _rejected() -> Column:
 
 
 def accepted(docs: DataFrame, declared: str = "lang", host: str = "source", sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs``, all their columns, that :func:`identify` does not reject."""
+    """The rows of ``docs``, all their columns, that :func:`identify` does not reject.
+
+    Rows are judged one by one by what they hold: nulls and empty texts as :func:`identify` says, repeated rows stay or go
+    together, an empty table gives no rows; further columns, whatever their names, pass unread.
+    """
     languages, table = _model(docs, declared, sample)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     return (fused(_evidence(docs, declared, host, whole), languages, table).filter(~_rejected())
@@ -238,7 +242,9 @@ def identify_pages(pages: DataFrame, languages: list[str], table: np.ndarray) ->
     """The same for raw pages: ``page_id``, ``language``, ``confidence``, ``rejected``.
 
     Declared is the ``lang`` of the html element, the host and its suffix come from the address, the
-    text is the page without scripts, styles and tags.
+    text is the page without scripts, styles and tags. A null page is an empty text without a declared language, a
+    null or unreadable address one without host or suffix; what is absent gives no evidence. Repeated rows repeat
+    theirs, ids may be null, an empty table gives no rows, and further columns are not read.
     """
     html = F.col("html")
     plain = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"<[^>]*>", " ")

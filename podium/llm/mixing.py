@@ -23,7 +23,9 @@ SEED = "mix-1"
 
 
 def _order(seed: str) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    """Place of a row in its source: by its id, without one by its text."""
+    by_text = F.concat(F.lit("text:"), F.xxhash64("text").cast("string"))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), by_text)).cast("binary"))
 
 
 def _source_key() -> Column:
@@ -64,8 +66,8 @@ def targets(rows: DataFrame, epochs: int = EPOCHS) -> DataFrame:
 def plan(rows: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     """Per source: target, ``whole`` repetitions and the last ``place`` that gets one more (null: none).
 
-    ``rows`` are those of :func:`sizes`, stored. Documents with one id share a place and are taken
-    together. The cut lies where the words taken come closest to the target.
+    ``rows`` are those of :func:`sizes`, stored. Documents with one id, or without id and with one text, share a place and are
+    taken together. The cut lies where the words taken come closest to the target.
     """
     goal = targets(rows, epochs)
     goal = (goal.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
@@ -112,8 +114,9 @@ def mix(docs: DataFrame, epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
 def mixed_documents(docs: DataFrame, epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
     """The rows of ``docs``, all their columns, each as often as the mix takes it.
 
-    Needs ``doc_id``, ``text`` and ``source``; further columns, whatever their names, pass unread.
-    Only a row per source is joined, the documents are not shuffled.
+    Needs ``doc_id``, ``text`` and ``source``; further columns, whatever their names, pass unread. A null or blank
+    text has no words: it adds nothing to the target and comes as often as its place says, never in a source that has no words at all.
+    Nulls, repeated rows and ties are as in :func:`mix`; an empty table gives no rows. Only a row per source is joined, the documents are not shuffled.
     """
     per_source = plan(stored(sizes(docs, seed), "sizes"), epochs)
     whole_row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])

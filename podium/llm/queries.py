@@ -67,6 +67,12 @@ def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"), shards=24)
 
 
+def moved_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map of op9 edited for one more shard and stored as version 2."""
+    from podium.llm.sharding import moved_documents
+    return moved_documents(_table(spark, sf_dir, "documents"), shards=24, grown=25)
+
+
 def op10_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from podium.llm.mixing import mix
     return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -90,7 +96,7 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_line_dedup, op2_license_scan, op3_minhash, op4_warc, op5_subspace_join,
                             op6_decontamination, op7_language, op8_token_ids, op9_virtual_slots, op10_water_filling,
-                            op11_conversation_repair, op12_quality, op13_prefix_trie, pages_language)
+                            op11_conversation_repair, op12_quality, op13_prefix_trie, pages_language, moved_slots)
 }
 
 # Components by a recursive walk over links; both queries below end in it.

@@ -7,8 +7,8 @@ import math
 import numpy as np
 import pytest
 
-from podium.llm import embeddings, mixing
-from podium.llm.common import ship
+from podium.llm import decontamination, embeddings, mixing, sharding
+from podium.llm.common import ship, stored
 
 
 def test_vectors_of_any_size(spark):
@@ -71,3 +71,58 @@ def test_tiles_pass_over_nothing(spark):
     p, q = embeddings._within(home, other, 0.6)
     plain = np.argwhere(((home[:, None] - other[None]) ** 2).sum(axis=2) <= 0.6)
     assert set(zip(p.tolist(), q.tolist())) == {tuple(x) for x in plain.tolist()}
+
+
+def test_rows_without_id_are_spread(spark, tmp_path):
+    """Many rows without id and with one text fill no single slot, and a source without ids meets its target."""
+    rows = spark.range(3000, numPartitions=4).selectExpr("cast(null AS bigint) AS doc_id", "'the same few words' AS text", "'a' AS source")
+    got = sharding.shard_documents(rows, shards=8)
+    counts = [r["count"] for r in got.groupBy("shard").count().collect()]
+    assert len(counts) == 8 and max(counts) - min(counts) <= 20 and sum(counts) == 3000
+    told = spark.range(3000).selectExpr("cast(null AS bigint) AS doc_id", "concat('text number ', id) AS text",
+                                        "if(id % 3 = 0, 'a', 'b') AS source")
+    taken = mixing.mix(told).groupBy("source").agg({"taken": "sum", "target": "max"}).collect()
+    assert len(taken) == 2 and all(abs(r["sum(taken)"] - r["max(target)"]) <= 3 for r in taken)
+    assert mixing.mixed_documents(told).count() * 3 == sum(r["sum(taken)"] for r in taken)
+
+
+def test_versions_of_the_slot_map(spark, tmp_path):
+    """Every version stays readable; an edit moves whole slots, and a record follows its slot, as a plain loop finds."""
+    docs = spark.range(2000).selectExpr("id AS doc_id", "repeat('x', cast(id % 61 AS int)) AS text", "id AS SHARD", "'v' AS Version")
+    table = str(tmp_path / "maps")
+    first = {r.doc_id: r.shard for r in sharding.shard_documents(docs, shards=4, slots=256, table=table).collect()}
+    sizes = stored(sharding.slot_sizes(sharding.records(docs, 256)), "sizes")
+    for shards in (5, 3):
+        sharding.rebalance(sizes, table, shards)
+    maps = [{r.virtual_slot: r.shard for r in sharding.map_version(spark, table, v).collect()} for v in (1, 2, 3)]
+    assert sharding.map_version(spark, table, 9).collect() == []
+    assert [set(m.values()) for m in maps] == [set(range(4)), set(range(5)), set(range(3))]
+    assert {r.version for r in sharding.map_version(spark, table).collect()} == {3}
+    slot_of = {r.doc_id: r.virtual_slot for r in sharding.records(docs, 256).collect()}
+    assert first == {d: maps[0][s] for d, s in slot_of.items()}
+    weight = {r.virtual_slot: r.n_bytes for r in sizes.collect()}
+    for known, shards in zip(maps, (4, 5, 3)):
+        loads = [sum(weight[s] for s in known if known[s] == i) for i in range(shards)]
+        assert max(loads) <= 1.05 * min(loads)
+    moved = {r.doc_id: (r.shard, r.new_shard, r.version) for r in sharding.moved_documents(docs, 4, 5, 256).collect()}
+    assert moved == {d: (maps[0][s], maps[1][s], 2) for d, s in slot_of.items()}
+    kept = sum(weight[s] for s in weight if maps[0][s] == maps[1][s]) / sum(weight.values())
+    assert 0.75 < kept < 0.85  # a fifth of all bytes makes the fifth shard
+    assert sharding.moved_documents(docs.limit(0)).collect() == []
+
+
+def test_items_in_many_parts(spark):
+    """Documents that hold an item of any part go; rows without id or text and repeated rows are judged one by one."""
+    ship(spark)
+    words = "amber basil cedar delta ember fjord grove heron inlet jade kelp lotus maple north olive pearl quartz river".split()
+    items = [(i, " ".join(words[(i * 5 + k * (i + 1)) % 18] + str(i) for k in range(14)) + "? " + " ".join(f"answer{i}x{k}" for k in range(6)) + ".")
+             for i in range(12)]
+    rows = [(i, f"before {text} after") for i, text in items] + [(50, "no item in here at all"), (50, "no item in here at all"), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "doc_id AS item_id")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    assert len(list(decontamination.index_parts(bench, part_words=60))) >= 4
+    kept = decontamination.uncontaminated(docs, bench, part_words=60)
+    assert kept.columns == docs.columns
+    assert sorted(kept.collect(), key=str) == sorted(decontamination.uncontaminated(docs, bench).collect(), key=str)
+    assert sorted((r.doc_id, r.text) for r in kept.filter("doc_id IS NOT NULL").collect()) == [rows[12], rows[13]]
+    assert kept.count() == 4
