@@ -9,6 +9,17 @@ from pyspark.sql import functions as F
 
 from podium.operators.windows import top1
 
+MANY = 100_000  # rows up to which Spark's own estimate of a side is trusted
+
+
+def sized(side: DataFrame, rows: int | None = None) -> DataFrame:
+    """``side``, to be joined by shuffle if it has many ``rows`` (counted here unless they are given).
+
+    Spark takes the size of the files a side is read from for the size of its rows. Compressed keys are a tenth of that and
+    less, and a broadcast planned by it is not taken back when the rows turn out to be too many for the driver.
+    """
+    return side.hint("merge") if (side.count() if rows is None else rows) > MANY else side
+
 
 def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join to a ``table`` that holds one row per key, however unevenly ``rows`` use them.

@@ -1,10 +1,9 @@
-"""Which partitions of a table may hold a key: a stored, append-only index of Bloom filters.
+"""Which partitions of a table may hold a key: a stored, append-only index of key hashes.
 
-A partition's filter is cut into blocks of 32,768 bits. A key belongs to one block, by its hash, and sets
-``PROBES`` bits in it, so asking for a key is one join on (number of blocks, block) and a look at its bits.
-Filters are sized for the keys they are built from. Every batch adds filters of its own; none is ever
-changed. A key that was deleted or has moved stays in its old filter, which costs a needless look and no
-wrong answer: what the index names is always checked against the rows themselves.
+An entry is the 64-bit hash of a key and the partition its row went to, so asking for keys is one join on the hash,
+linear in the keys asked for and the entries. Every batch adds entries of its own; none is ever changed. A key that was
+deleted or has moved keeps its old entry, and two keys may share a hash; both cost a needless look and no wrong
+answer: what the index names is always checked against the rows themselves.
 """
 
 from __future__ import annotations
@@ -14,46 +13,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from podium.operators.joins import sized
 from podium.sources.readers import is_path, table, table_exists
 
-BLOCK_BITS = 32_768
-BITS_PER_KEY = 24
-PROBES = 6  # about 2 in 100,000 unknown keys are named at this size
-
 
 def index_of(target: str) -> str:
     return f"{target.rstrip('/')}.keys" if is_path(target) else f"{target}_keys"
 
 
-def _hashes(keys: Sequence[str]) -> list[Column]:
-    told = [F.col(k) for k in keys]
-    return [F.xxhash64(*told, F.lit(0)), F.xxhash64(*told, F.lit(1))]
-
-
-def _block(blocks: Column, first: Column) -> Column:
-    return F.pmod(first, blocks).cast("int")
-
-
-def _bits(second: Column) -> list[Column]:
-    """Places of a key's bits in its block: steps of a width that the second hash gives along with the start."""
-    low, high = second.bitwiseAND(F.lit(0x7FFFFFFF)), F.shiftrightunsigned(second, 33)
-    return [F.pmod(low + i * high, F.lit(BLOCK_BITS)).cast("int") for i in range(PROBES)]
+def _hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(k) for k in keys])
 
 
 def entries(rows: DataFrame, keys: Sequence[str], partition: str) -> DataFrame:
-    """Filters of the keys of ``rows``: (partition as text, number of blocks, block, bits)."""
-    first, second = _hashes(keys)
-    hashed = rows.select(F.col(partition).cast("string").alias("partition"), first.alias("h1"), second.alias("h2"))
-    sizes = hashed.groupBy(F.col("partition").alias("_sized")).agg(
-        F.ceil(F.count(F.lit(1)) * BITS_PER_KEY / BLOCK_BITS).cast("int").alias("blocks"))
-    sized = hashed.join(sizes, F.col("partition").eqNullSafe(F.col("_sized")))
-    placed = sized.select("partition", "blocks", _block(F.col("blocks"), F.col("h1")).alias("block"),
-                          F.explode(F.array(*_bits(F.col("h2")))).alias("bit"))
-    return placed.groupBy("partition", "blocks", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    """Entries of the keys of ``rows``: (hash, partition as text)."""
+    return rows.dropna(subset=list(keys)).select(
+        _hash(keys).alias("key_hash"), F.col(partition).cast("string").alias("partition"))
 
 
 def extend(rows: DataFrame, target: str, keys: Sequence[str], partition: str) -> None:
-    """Add the keys of ``rows``, before the rows themselves are written: a filter too many does no harm."""
+    """Add the keys of ``rows``, before the rows themselves are written: an entry too many does no harm."""
     writer = entries(rows, keys, partition).write.mode("append")
     place = index_of(target)
     writer.parquet(place) if is_path(target) else writer.format("parquet").saveAsTable(place)
@@ -67,21 +46,14 @@ def ensure(df: DataFrame, target: str, keys: Sequence[str], partition: str) -> N
 
 
 def holders(rows: DataFrame, target: str, keys: Sequence[str]) -> DataFrame:
-    """(keys, ``_partition`` as text) of partitions that may hold a key of ``rows``; never misses one that does.
-
-    A filter's number of blocks is part of the join key, once for each number in use: a few, as sizes repeat.
-    """
+    """(keys, ``_partition`` as text) of partitions that may hold a key of ``rows``; never misses one that does."""
     index = table(rows.sparkSession, index_of(target))
-    sizes = index.agg(F.collect_set("blocks").alias("_sizes"))
-    first, second = _hashes(keys)
-    asked = (rows.select(*keys).dropna().distinct().select(*keys, first.alias("_h1"), second.alias("_h2"))
-             .withColumn("blocks", F.explode(sizes.scalar())).withColumn("block", _block(F.col("blocks"), F.col("_h1"))))
+    asked = _asked(rows, keys).withColumn("key_hash", _hash(keys))
+    return index.join(asked, "key_hash").select(*keys, F.col("partition").alias("_partition")).distinct()
+
 
-    held = asked.join(index, ["blocks", "block"])
-    for bit in _bits(F.col("_h2")):
-        byte = F.conv(F.hex(F.substr("bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10)
-        held = held.filter(F.getbit(byte.cast("int"), bit % 8) == 1)
-    return held.select(*keys, F.col("partition").alias("_partition")).distinct()
+def _asked(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return sized(rows.select(*keys).dropna()).distinct()
 
 
 def partitions_of(rows: DataFrame, column: str) -> list[str | None]:
@@ -100,6 +72,5 @@ def stored_rows(rows: DataFrame, target: str, keys: Sequence[str], partition: st
     """Rows of ``target`` whose key is among those of ``rows``; only partitions that may hold one are read."""
     spark = rows.sparkSession
     ensure(rows, target, keys, partition)
-    hits = holders(rows, target, keys)
-    held = in_partitions(table(spark, target), partition, partitions_of(hits, "_partition"))
-    return held.join(hits.select(*keys).distinct(), list(keys), "left_semi")
+    named = partitions_of(holders(rows, target, keys), "_partition")
+    return in_partitions(table(spark, target), partition, named).join(_asked(rows, keys), list(keys), "left_semi")

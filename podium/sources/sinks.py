@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.operators.changes import keyless, unseen
-from podium.operators.joins import new_only
+from podium.operators.joins import new_only, sized
 from podium.session import scratch_dir
 from podium.sources import key_index, versions
 from podium.sources.key_index import in_partitions, partitions_of
@@ -70,13 +70,14 @@ def insert_new(df: DataFrame, target: str, keys: Sequence[str], order: Sequence,
     existing = table(spark, target) if table_exists(spark, target) else None
     if indexed:
         batch = materialize(unseen(df, None, keys, order), scratch_dir(spark, "batch"))
+        fresh = batch
         if existing is not None:
-            existing = key_index.stored_rows(batch, target, keys, partition_by[0])
-        fresh = materialize(unseen(batch, existing, keys, order), scratch_dir(spark, "fresh"))
+            known = materialize(key_index.stored_rows(batch, target, keys, partition_by[0]).select(*keys), scratch_dir(spark, "known"))
+            fresh = materialize(new_only(batch, sized(known), keys), scratch_dir(spark, "fresh"))
         key_index.extend(fresh, target, keys, partition_by[0])
         append(fresh, target, partition_by)
     else:
-        append(unseen(df, existing, keys, order), target, partition_by)
+        append(unseen(df, None if existing is None else sized(existing), keys, order), target, partition_by)
     if rejects is not None:
         insert_new(keyless(df, keys), rejects, ["reject_id"], ["reject_id"])
 
@@ -146,7 +147,7 @@ def _rewrite(going: DataFrame, match: Sequence[str], live: DataFrame, target: st
     """Swap the partitions of ``going`` and ``live``: rows that match ``going`` or ``live`` leave, ``live`` enters."""
     spark = live.sparkSession
     left, entered = partitions_of(going, partition), partitions_of(live, partition)
-    leaving = going.select(*match).unionByName(live.select(*match)).distinct()
+    leaving = sized(going.select(*match).unionByName(live.select(*match)), going.count() + live.count()).distinct()
     stored = table(spark, target).select(live.columns)
 
     def kept(values: Sequence[str | None]) -> DataFrame:
