@@ -42,3 +42,10 @@ def test_a_large_feed_is_not_broadcast(spark, tmp_path, few, monkeypatch):
     assert "Broadcast" in plan_of(key_index.holders(rows.limit(5), target, ["id"]))
     left = as_set(table(spark, target).select("id", F.col("month").cast("string")))
     assert len(left) == 1500 and {m for i, m in left if i % 4 == 2} == {"2025-01"}
+
+
+def test_unknown_keys_meet_no_entry(spark, tmp_path):
+    target = str(tmp_path / "t")
+    sinks.insert_new(months(spark, 20_000), target, ["id"], ["month"], ["month"], indexed=True)
+    assert key_index.holders(spark.range(10 ** 6, 10 ** 6 + 100_000), target, ["id"]).count() == 0
+    assert key_index.holders(spark.range(30_000), target, ["id"]).count() == 20_000
