@@ -49,3 +49,11 @@ def test_unknown_keys_meet_no_entry(spark, tmp_path):
     sinks.insert_new(months(spark, 20_000), target, ["id"], ["month"], ["month"], indexed=True)
     assert key_index.holders(spark.range(10 ** 6, 10 ** 6 + 100_000), target, ["id"]).count() == 0
     assert key_index.holders(spark.range(30_000), target, ["id"]).count() == 20_000
+
+
+def test_the_index_is_asked_once(spark, tmp_path):
+    target = str(tmp_path / "t")
+    sinks.overwrite(months(spark, 2000), target, ["month"])
+    found = key_index.stored_rows(spark.range(0, 4000, 500), target, ["id"], "month")
+    assert not any(".keys/" in f for f in found.inputFiles())
+    assert as_set(found, "id") == {(0,), (500,), (1000,), (1500,)}
