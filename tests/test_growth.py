@@ -89,3 +89,8 @@ def test_a_unit_is_asked_once(spark, tmp_path, monkeypatch):
         run(spark, tmp_path, broken, monkeypatch)
     assert table(spark, str(tmp_path / "answers")).count() == 9
     assert as_set(table(spark, str(tmp_path / "matches")), "match_id", "player_id", "pages_processed", "winners") == {("s", "y", 8, 4)}
+
+
+def test_answers_are_routed_without_the_store(spark, tmp_path, monkeypatch):
+    routed = [*run(spark, tmp_path, True, monkeypatch), *run(spark, tmp_path, False, monkeypatch)]
+    assert len(routed) == 8 and not any("/answers/" in f for df in routed for f in df.inputFiles())
