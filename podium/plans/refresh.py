@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from podium.functions.scalars import week_start, year_month
+from podium.operators.joins import sized
 from podium.plans import intermediate, marts, staging
 from podium.plans.build import calculated
 from podium.session import scratch_dir
@@ -33,7 +34,7 @@ def refresh(folder: str, aliases: DataFrame, dim: DataFrame, matches: DataFrame
     of their day; a row without a day stays in the partition of null and touches nothing.
     """
     spark = dim.sparkSession
-    days = []
+    aliases, dim, days = sized(aliases), sized(dim), []
     if matches is not None:
         rows = matches.withColumn("match_month", year_month("match_date"))
         before = apply_changes(rows, f"{folder}/raw_matches", ["match_id"], "match_month")
@@ -43,13 +44,13 @@ def refresh(folder: str, aliases: DataFrame, dim: DataFrame, matches: DataFrame
         before = apply_changes(rows, f"{folder}/raw_training", ["session_id"], "session_month")
         days.append(_training_facts(folder, before, rows, aliases, dim))
     touched = days[0] if len(days) == 1 else days[0].unionByName(days[1])
-    weeks = materialize(touched.select("player_id", week_start("day").alias("score_week")).distinct()
-                        .withColumn("score_month", year_month("score_week")), scratch_dir(spark, "weeks"))
+    weeks = sized(materialize(touched.select("player_id", week_start("day").alias("score_week")).distinct()
+                              .withColumn("score_month", year_month("score_week")), scratch_dir(spark, "weeks")))
     _scores(folder, weeks, now)
     _digest(folder, weeks, now)
     months = touched.select("player_id", year_month("day").alias("report_month")).unionByName(
         weeks.select("player_id", F.col("score_month").alias("report_month")))
-    _report(folder, materialize(months.distinct(), scratch_dir(spark, "months")), now)
+    _report(folder, sized(materialize(months.distinct(), scratch_dir(spark, "months"))), now)
     return {name: table(spark, f"{folder}/{name}") for name in (
         "fct_match", "fct_training", "development_score", "weekly_digest", "monthly_report")
         if table_exists(spark, f"{folder}/{name}")}
@@ -82,7 +83,7 @@ def _training_facts(folder: str, before: DataFrame, changed: DataFrame, aliases:
 
 def _stored_days(staged: DataFrame, day: str, month: str) -> DataFrame:
     days = staged.select("player_id", day).distinct().withColumn(month, year_month(day))
-    return materialize(days, scratch_dir(staged.sparkSession, "days"))
+    return sized(materialize(days, scratch_dir(staged.sparkSession, "days")))
 
 
 def _scores(folder: str, weeks: DataFrame, now: Column | None) -> None:
@@ -119,8 +120,8 @@ def _digest(folder: str, weeks: DataFrame, now: Column | None) -> None:
     marked = F.max(F.when(F.col("mark"), F.col("score_week"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
     affected = line.withColumns({"last": last, "marked": marked}).filter(
         F.col("mark") | (F.col("marked") >= F.col("last")) | (F.col("last").isNull() & F.col("marked").isNotNull()))
-    affected = materialize(affected.select("player_id", F.col("score_week").alias("week_start"), "last"),
-                           scratch_dir(spark, "affected"))
+    affected = sized(materialize(affected.select("player_id", F.col("score_week").alias("week_start"), "last"),
+                                 scratch_dir(spark, "affected")))
     needed = affected.select("player_id", F.explode(F.array("week_start", "last")).alias("score_week")).dropna().distinct()
     months = partitions_of(needed.select(year_month("score_week").alias("m")), "m")
     cut = in_partitions(table(spark, f"{folder}/development_score"), "score_month", months).drop("score_month", "calculated_at")

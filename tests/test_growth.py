@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from conftest import as_set
 from podium.operators import joins
-from podium.plans import extraction
+from podium.plans import extraction, refresh
+from podium.schemas import RAW_MATCHES, RAW_TRAINING
 from podium.sources import key_index, sinks
-from podium.sources.readers import table
+from podium.sources.readers import rows_to_df, table
 
 
 @pytest.fixture
@@ -94,3 +95,17 @@ def test_a_unit_is_asked_once(spark, tmp_path, monkeypatch):
 def test_answers_are_routed_without_the_store(spark, tmp_path, monkeypatch):
     routed = [*run(spark, tmp_path, True, monkeypatch), *run(spark, tmp_path, False, monkeypatch)]
     assert len(routed) == 8 and not any("/answers/" in f for df in routed for f in df.inputFiles())
+
+
+def test_a_refresh_broadcasts_no_large_side(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(joins, "MANY", 0)
+    plans, replace = [], refresh.replace_grains
+    monkeypatch.setattr(refresh, "replace_grains", lambda fresh, *a: (plans.append(plan_of(fresh)), replace(fresh, *a)))
+    aliases = spark.createDataFrame([("x", "y", "z")], "alias string, canonical_player_id string, alias_source string")
+    dim = spark.createDataFrame([("k", "a", True, None)], "player_sk string, player_id string, is_current boolean, valid_from timestamp")
+    played = [{"match_id": f"m{i}", "player_id": "a", "match_date": dt.date(2024, 1, i), "player_won": True, "winners": 5,
+               "unforced_errors": 3} for i in range(1, 9)]
+    feed = rows_to_df(spark, played, RAW_MATCHES).withColumn("_deleted", F.lit(False))
+    trained = rows_to_df(spark, [{"session_id": "t", "player_id": "a", "session_date": dt.date(2024, 1, 2), "shots_in": 0.5}], RAW_TRAINING)
+    refresh.refresh(str(tmp_path), aliases, dim, feed, trained.withColumn("_deleted", F.lit(False)))
+    assert len(plans) == 5 and not any("BroadcastHashJoin" in p for p in plans)
