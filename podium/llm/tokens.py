@@ -10,7 +10,9 @@ independent, so a segment is decoded by table look-up in all its blocks at once,
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
 import string
 import struct
 import uuid
@@ -31,6 +33,10 @@ BLOCK = 512
 SEGMENT = 1 << 20
 _REMEMBERED = 1 << 19
 _FILE, _HEAD = b"HUFIDS1\n", struct.Struct("<4sIQII")
+# A tokenizer's rules under which a word of plain signs falls into the pieces below.
+_RULES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
 @functools.cache
@@ -42,12 +48,24 @@ def _coder(path: str) -> Callable[[str | None], bytes]:
     closing signs, once per Python worker, and texts are put together from what is remembered. A full
     memory becomes the older one, from which words still in use come back; that bounds it at little cost.
     A text that holds an added token, such as the end mark, is encoded whole and as it is: the library
-    cuts those out of the original before its other rules.
+    cuts those out of the original before its other rules. One word in eight is new, and most of its cost is in the
+    normalisation and splitting; a word of ASCII and Latin-1 letters is split here, and the library's model encodes its pieces.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
     added = [token.content.encode().lower() for token in tokenizer.get_added_tokens_decoder().values()]
+    model, symbols, plain_word = tokenizer.model, _symbols(tokenizer), _PLAIN.fullmatch
+
+    def of_piece(piece: str) -> bytes:
+        found = [token.id for token in model.tokenize(piece if piece.isascii() else piece.translate(symbols))]
+        return struct.pack(f"<{len(found)}I", *found)
+
+    def of_word(known: dict[bytes, bytes], plain: str) -> bytes:
+        body = plain.rstrip(string.punctuation)
+        if body != plain and body and body[-1].lower()[-1].isalpha():  # some letters end in a mark once lower-cased
+            return known[body.encode()] + known[plain[len(body):].encode()]
+        return np.asarray(tokenizer.encode(plain, add_special_tokens=False).ids, "<u4").tobytes()
 
     class Words(dict):
         older: dict = {}
@@ -59,13 +77,13 @@ def _coder(path: str) -> Callable[[str | None], bytes]:
             if (known := self.older.get(word)) is not None:
                 self[word] = known
                 return known
-            plain = word.decode()
-            body = plain.rstrip(string.punctuation)
-            if body != plain and body and body[-1].lower()[-1].isalpha():  # some letters end in a mark once lower-cased
-                tail = plain[len(body):]
-                found = self[body.encode()] + self[tail.encode()]
+            if symbols and word.isalpha():
+                found = of_piece(word.decode())
+            elif symbols and plain_word(plain := word.decode()):
+                pieces = _PIECES.findall(plain.lower())
+                found = b"".join([self[piece.encode()] for piece in pieces]) if len(pieces) > 1 else of_piece(pieces[0])
             else:
-                found = np.asarray(tokenizer.encode(plain, add_special_tokens=False).ids, "<u4").tobytes()
+                found = of_word(self, word.decode())
             self[word] = found
             return found
 
@@ -82,8 +100,27 @@ def _coder(path: str) -> Callable[[str | None], bytes]:
     return ids_of
 
 
+def _symbols(tokenizer) -> dict[int, str] | None:
+    """What the model is given for a plain character; None if the tokenizer does not split words by ``_RULES``.
+
+    Composition leaves plain characters as they are, and lower case is theirs one to one.
+    """
+    said = json.loads(tokenizer.to_str())
+    normalizers = [step["type"] for step in (said["normalizer"] or {}).get("normalizers", ())]
+    cuts = [{k: v for k, v in step.items() if k != "trim_offsets"} for step in (said["pre_tokenizer"] or {}).get("pretokenizers", ())]
+    if normalizers != ["NFC", "Replace", "Lowercase"] or said["normalizer"]["normalizers"][1]["pattern"] != {"Regex": r"\s+"}:
+        return None
+    if cuts != [{"type": "Split", "pattern": {"Regex": _RULES}, "behavior": "Removed", "invert": True},
+                {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}]:
+        return None
+    chars = [chr(code) for code in range(0x21, 0x100) if _PLAIN.fullmatch(chr(code))]
+    cut = {ord(char): tokenizer.pre_tokenizer.pre_tokenize_str(char) for char in chars}
+    symbols = {code: pieces[0][0] for code, pieces in cut.items()}
+    return symbols if all(symbols[code] == chr(code) for code in symbols if code < 0x7F) else None
+
+
 def forget_words() -> None:
-    """Free the words a reused Python worker keeps; other operators' tasks call it, to have the room."""
+    """Free the words a reused Python worker keeps; tasks that encode nothing call it, to have the room."""
     _coder.cache_clear()
 
 
@@ -114,6 +151,7 @@ def id_counts(ids: DataFrame, vocabulary: int) -> DataFrame:
     width = "<u2" if vocabulary <= 65536 else "<u4"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         total = np.zeros(vocabulary, np.int64)
         for batch in slices(batches):
             for doc in batch.column(0):
@@ -264,6 +302,7 @@ def write_ids(ids: DataFrame, folder: str, lengths: np.ndarray, width: str) -> D
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
+        forget_words()
         system, root = opened(folder)
         part, draft, stream, tokens, held, size = TaskContext.get().partitionId(), None, None, 0, [], 0
         for batch in slices(batches):
@@ -302,6 +341,7 @@ def read_ids(files: DataFrame, folder: str) -> DataFrame:
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         system, root = opened(folder)
         table = decode_table(read_codebook(folder))
         for batch in batches:

@@ -436,6 +436,31 @@ def test_token_files_of_texts_with_added_tokens(spark):
         assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
 
 
+def test_words_of_plain_letters_skip_the_librarys_own_splitting(monkeypatch):
+    import public_tokenizers
+    import tokenizers
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, asked = tokenizers.Tokenizer.from_file(path), []
+
+    class Counted:
+        from_file = staticmethod(lambda _: Counted())
+        __getattr__ = staticmethod(lambda name: getattr(library, name))
+
+        def encode(self, text, **how):
+            asked.append(text)
+            return library.encode(text, **how)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    tokens.forget_words()
+    try:
+        plain = "Ungöß### ciÓnqueÍ!! don't 'sup !'ve x''ll 'Tis 2024-05-01 l'été,$$$ a1b2 ÉÀ÷× ¡no! \x1ca \u017c Ÿ e\u0301t ÿ\u0130 "
+        text = plain + " ".join(f"w{i:x}ä{i}." for i in range(500))
+        assert tokens._coder(path)(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert 0 < len(asked) < 12  # words with other signs
+    finally:
+        tokens.forget_words()
+
+
 def test_huffman_round_trip():
     rng = np.random.default_rng(5)
     for n, kinds in ((1, 1), (700, 1), (5000, 3), (40_000, 3000)):
