@@ -1,9 +1,9 @@
 """Gold: dimension, facts, weekly score, weekly digest, monthly report.
 
-The score and the report combine their inputs by stacking them and grouping once on the output
-grain. That gives the rows of a full outer join (or, with a filter, of a left outer one) with one
-shuffle of partly aggregated rows instead of one per input and a sorted join, and a busy player is
-reduced in the map tasks.
+The score combines its inputs by stacking them and grouping once on the output grain. That gives the
+rows of a full outer join with one shuffle of partly aggregated rows instead of one per input and a
+sorted join, and a busy player is reduced in the map tasks. The report groups each input for itself, in
+the map tasks first as well, and joins the groups to those of the matches.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from podium.functions.aggregates import count_where, mean_rounded, ratio_of, spread
 from podium.functions.scalars import (
-    capped, classify_trend, fill_defaults, rescale, surrogate_key, week_start, weighted_score, year_month,
+    capped, classify_trend, fill_defaults, month_start, rescale, surrogate_key, week_start, weighted_score, year_month,
 )
 from podium.operators.changes import newer_than
 from podium.operators.joins import lookup_sk
@@ -139,37 +139,40 @@ def monthly_report(matches: DataFrame, training: DataFrame, scores: DataFrame,
     """One row per player and month with a match; with ``target`` only months it does not cover.
 
     Months of training alone do not appear. The high-water filter is applied to every input
-    before the grouping.
+    before the grouping. The inputs are grouped apart, as hardly two weeks of one player share a row of partial sums
+    with a match: stacked, every one of them would carry the sums of all three.
     """
     earlier = F.date_format(F.add_months(F.to_date("_high", "yyyy-MM"), -look_back_months), "yyyy-MM")
 
     def recent(df: DataFrame) -> DataFrame:
         return newer_than(df, "report_month", target, "report_month", earlier if look_back_months else None)
 
-    played = recent(matches.select(
-        "player_id", year_month("match_date").alias("report_month"), F.lit(1).alias("match"),
-        "player_won", "first_serve_pct", "break_point_conversion"))
-    trained = recent(training.select(
-        "player_id", year_month("session_date").alias("report_month"), F.lit(1).alias("session"),
-        "total_shots_per_hour"))
-    scored = recent(scores.select(
-        "player_id", year_month("score_week").alias("report_month"), "development_score"))
-    matches_played, matches_won = F.count("match"), count_where(F.col("player_won"))
-    monthly = (played.unionByName(trained, allowMissingColumns=True)
-               .unionByName(scored, allowMissingColumns=True)
-               .groupBy("player_id", "report_month")
-               .agg(matches_played.alias("matches_played"),
-                    matches_won.alias("matches_won"),
-                    ratio_of(matches_won, matches_played).alias("win_rate"),
-                    mean_rounded("first_serve_pct", 4).alias("avg_first_serve_pct"),
-                    mean_rounded("break_point_conversion", 4).alias("avg_break_point_conversion"),
-                    F.count("session").alias("sessions_completed"),
-                    mean_rounded("total_shots_per_hour", 1).alias("avg_shots_per_hour"),
-                    mean_rounded("development_score", 2).alias("avg_development_score"),
-                    spread("development_score", 2).alias("score_range")))
-    return (monthly.filter(F.col("matches_played") > 0)
-            .withColumn("report_id", surrogate_key("player_id", "report_month"))
-            .withColumnRenamed("avg_development_score", "development_score"))
+    def by_month(df: DataFrame, date: str, *measures: Column | str) -> DataFrame:
+        rows = df.select("player_id", F.to_date(F.col(date)).alias("_day"), *measures)
+        if target is not None:
+            rows = recent(rows.withColumn("report_month", year_month("_day")))
+        # A struct joins on its nulls, too, and a day is shorter than the name of a month.
+        return rows.groupBy(F.struct("player_id", month_start("_day").alias("month")).alias("_at"))
+
+    matches_played, matches_won = F.count(F.lit(1)), count_where(F.col("player_won"))
+    played = by_month(matches, "match_date", "player_won", "first_serve_pct", "break_point_conversion").agg(
+        matches_played.alias("matches_played"),
+        matches_won.alias("matches_won"),
+        ratio_of(matches_won, matches_played).alias("win_rate"),
+        mean_rounded("first_serve_pct", 4).alias("avg_first_serve_pct"),
+        mean_rounded("break_point_conversion", 4).alias("avg_break_point_conversion"))
+    trained = by_month(training, "session_date", "total_shots_per_hour").agg(
+        F.count(F.lit(1)).alias("sessions_completed"),
+        mean_rounded("total_shots_per_hour", 1).alias("avg_shots_per_hour"))
+    scored = by_month(scores, "score_week", "development_score").agg(
+        mean_rounded("development_score", 2).alias("development_score"),
+        spread("development_score", 2).alias("score_range"))
+    monthly = played.join(trained.hint("merge"), "_at", "left").join(scored.hint("merge"), "_at", "left")
+    report = monthly.select(
+        "_at.player_id", year_month("_at.month").alias("report_month"), "matches_played", "matches_won", "win_rate", "avg_first_serve_pct",
+        "avg_break_point_conversion", F.coalesce("sessions_completed", F.lit(0)).cast("bigint").alias("sessions_completed"),
+        "avg_shots_per_hour", "development_score", "score_range")
+    return report.withColumn("report_id", surrogate_key("player_id", "report_month"))
 
 
 def score_vs_last_month(report: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import as_set
 from podium.operators import joins
-from podium.plans import extraction, refresh
+from podium.plans import extraction, marts, refresh
 from podium.schemas import RAW_MATCHES, RAW_TRAINING
 from podium.sources import key_index, sinks
 from podium.sources.readers import rows_to_df, table
@@ -109,3 +109,26 @@ def test_a_refresh_broadcasts_no_large_side(spark, tmp_path, monkeypatch):
     trained = rows_to_df(spark, [{"session_id": "t", "player_id": "a", "session_date": dt.date(2024, 1, 2), "shots_in": 0.5}], RAW_TRAINING)
     refresh.refresh(str(tmp_path), aliases, dim, feed, trained.withColumn("_deleted", F.lit(False)))
     assert len(plans) == 5 and not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_rows_of_the_report_carry_the_sums_of_their_own_input(spark, rows):
+    matches = rows("player_id string, match_date date, player_won boolean, first_serve_pct double, break_point_conversion double",
+                   ("a", dt.date(2024, 1, 2), True, 0.5, None), (None, None, False, None, 0.25), ("b", None, None, 1.0, 1.0),
+                   (None, dt.date(2024, 1, 9), True, None, None))
+    training = rows("player_id string, session_date date, total_shots_per_hour double",
+                    ("a", dt.date(2024, 1, 30), 10.0), ("a", dt.date(2024, 2, 1), 99.0), (None, None, 7.0), ("b", None, None), ("c", None, 1.0))
+    scores = rows("player_id string, score_week date, development_score double",
+                  ("a", dt.date(2024, 1, 1), 1.0), ("a", dt.date(2024, 1, 8), 4.0), (None, None, 3.0), ("b", dt.date(2024, 1, 1), 2.0))
+    report = marts.monthly_report(matches, training, scores)
+    assert as_set(report, "player_id", "report_month", "matches_played", "matches_won", "avg_first_serve_pct", "sessions_completed",
+                  "avg_shots_per_hour", "development_score", "score_range") == {
+        ("a", "2024-01", 1, 1, 0.5, 1, 10.0, 2.5, 3.0), (None, None, 1, 0, None, 1, 7.0, 3.0, 0.0),
+        ("b", None, 1, 0, 1.0, 1, None, None, None), (None, "2024-01", 1, 1, None, 0, None, None, None)}
+    partial = [line for line in plan_of(report).splitlines() if "partial_" in line]
+    assert partial and not any("first_serve_pct" in line and "total_shots_per_hour" in line for line in partial)
+
+
+def test_the_long_report_joins_the_items_to_their_orders_once(spark):
+    from workload import load
+    report = load().QUERIES["long_monthly_report"](spark, "/root/testdata/sf0.001")
+    assert plan_of(report).count("lineitem.parquet") == 0  # stored before score and report read it

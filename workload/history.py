@@ -78,7 +78,8 @@ def long_weekly_digest(t: Tables) -> DataFrame:
 
 @query(with_ctes("SELECT * FROM long_report", "long_report"))
 def long_monthly_report(t: Tables) -> DataFrame:
-    matches, training = order_matches(t), shipped_days(t)
+    """Days of training are stored before score and report read them, as in a build."""
+    matches, training = order_matches(t), sinks.materialize(shipped_days(t), scratch_dir(t.spark, "training"))
     return marts.monthly_report(matches, training, marts.development_score(matches, training))
 
 
