@@ -132,3 +132,28 @@ def test_the_long_report_joins_the_items_to_their_orders_once(spark):
     from workload import load
     report = load().QUERIES["long_monthly_report"](spark, "/root/testdata/sf0.001")
     assert plan_of(report).count("lineitem.parquet") == 0  # stored before score and report read it
+
+
+def test_a_large_batch_of_a_stream_is_not_broadcast(spark, few, monkeypatch):
+    from workload import loads
+    from workload.tables import Tables
+    plans = []
+
+    def spy(module, name, side):
+        build = getattr(module, name)
+
+        def told(*args):
+            joined = build(*args)
+            if args[side] is not None and args[side].count() > 50:
+                plans.append(plan_of(joined))
+            return joined
+
+        monkeypatch.setattr(module, name, told)
+
+    spy(sinks, "new_only", 1)
+    spy(sinks, "unseen", 1)
+    spy(key_index, "holders", 0)
+    spy(key_index, "stored_rows", 0)
+    in_time, overdue = loads._in_time(Tables(spark, "/root/testdata/sf0.01"))
+    assert len(plans) > 4 and not any("BroadcastHashJoin" in plan for plan in plans)
+    assert in_time.count() > 50 and overdue.count() > 50
